@@ -61,8 +61,8 @@ class GlobalMultiplicative:
 
     def fit(self, df: DataFrame) -> "GlobalMultiplicative":
         rows = df.select(_valid_ratio().alias("r"))
-        # the five values around the middle also serve the leave-one-out medians
-        ranks = {f"m{k}": (lambda n, k=k: n // 2 + k) for k in (-2, -1, 0, 1, 2)}
+        # the values around the middle also serve the leave-one-out medians
+        ranks = {f"m{k}": (lambda n, k=k: n // 2 + k) for k in (-1, 0, 1)}
         self._middle = order_statistics(rows, "r", ranks)
         self.factor = _median_of(self._middle)
         self.n_stations = df.count()
@@ -76,7 +76,7 @@ class GlobalMultiplicative:
         """``y_loo``: each row predicted with the factor of all others."""
         _require_fit(self.factor)
         m = self._middle
-        mids = {k: F.lit(m[k]).cast("double") for k in ("m-2", "m-1", "m0", "m1", "m2")}
+        mids = {k: F.lit(m[k]).cast("double") for k in ("m-1", "m0", "m1")}
         return df.withColumn("y_loo", _d(PRED) * _median_without(_valid_ratio(), F.lit(m["n"]), mids))
 
     def params(self) -> dict:
@@ -215,12 +215,12 @@ class Stratified:
             F.coalesce(F.regr_sxy(y, x), F.lit(0.0)).alias("s_sxy"),
         )
         if self.base == "global_multiplicative":
-            ranks = {f"s_m{k}": (lambda n, k=k: F.floor(n / 2) + k) for k in (-2, -1, 0, 1, 2)}
+            ranks = {f"s_m{k}": (lambda n, k=k: F.floor(n / 2) + k) for k in (-1, 0, 1)}
             rows = df.select(*keys, _valid_ratio().alias("_r"))
             middle = grouped_order_statistics(rows, "_r", ranks, keys).withColumnRenamed("n", "s_valid")
             sums = _null_safe_join(sums, middle, keys)
             n = F.coalesce(F.col("s_valid"), F.lit(0))
-            mids = {f"m{k}": F.col(f"`s_m{k}`") for k in (-2, -1, 0, 1, 2)}
+            mids = {f"m{k}": F.col(f"`s_m{k}`") for k in (-1, 0, 1)}
             sums = sums.withColumn("s_valid", n).withColumn("factor", _median_column(n, mids))
         else:
             a = F.try_divide(F.col("s_sxy"), F.col("s_sxx") + F.lit(float(self.alpha)))
@@ -253,7 +253,7 @@ class Stratified:
         _require_fit(self.table)
         joined = _null_safe_join(self.global_.leave_one_out(df), self.table, list(self.stratify_by))
         if self.base == "global_multiplicative":
-            mids = {f"m{k}": F.col(f"`s_m{k}`") for k in (-2, -1, 0, 1, 2)}
+            mids = {f"m{k}": F.col(f"`s_m{k}`") for k in (-1, 0, 1)}
             own = _d(PRED) * _median_without(_valid_ratio(), F.col("s_valid"), mids)
         else:
             s = {k: F.col(f"s_{k}") for k in ("n", "mx", "my", "sxx", "sxy")}

@@ -65,7 +65,7 @@ def _band_name(limit: float) -> str:
 
 def accuracy_bands(df: DataFrame, y: str = "y_true", p: str = "y_pred", bands: Sequence[float] = BANDS) -> DataFrame:
     """Share of rows whose relative error stays inside each band."""
-    rel = F.abs(_d(y) - _d(p)) / F.greatest(F.abs(_d(y)), F.lit(COUNT_FLOOR))
+    rel = F.abs(_d(p) - _d(y)) / F.greatest(_d(y), F.lit(COUNT_FLOOR))
     return df.agg(*[F.coalesce(F.avg((rel <= b).cast("double")), F.lit(0.0)).alias(_band_name(b)) for b in bands])
 
 
@@ -74,8 +74,11 @@ def residual_stats(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataF
     res = df.select((_d(y) - _d(p)).alias("r"))
     median = quantiles(res, "r", {"median": 0.5})["median"]
     return res.agg(
-        F.avg("r").alias("mean"), F.stddev_pop("r").alias("std"), F.min("r").alias("min"), F.max("r").alias("max")
-    ).withColumn("median", F.lit(median).cast("double"))
+        F.avg("r").alias("residual_mean"),
+        F.stddev_pop("r").alias("residual_std"),
+        F.min("r").alias("residual_min"),
+        F.max("r").alias("residual_max"),
+    ).withColumn("residual_median", F.lit(median).cast("double"))
 
 
 def linear_fit(df: DataFrame, y: str, x: str) -> DataFrame:
