@@ -11,6 +11,7 @@ from ..sources.writers import counter_records, export_metadata, geojson_features
 from . import stand_ins as t
 from .registry import query, rounded, table
 
+RATIO_DIGITS = 9  # ratios of whole numbers often end in a 5 at the seventh place
 RATIO = "dtv / nullif(count, 0)"
 BASE = f""", r AS (SELECT *, {RATIO} AS ratio, CAST(count AS DOUBLE) / nullif(dtv, 0) AS inverse FROM matched),
   f AS (SELECT quantile_cont(ratio, 0.25) AS q1, quantile_cont(ratio, 0.75) AS q3, quantile_cont(ratio, 0.5) AS med,
@@ -31,9 +32,9 @@ def _sql(body: str) -> str:
     return t.with_tables("matched") + BASE + " " + body
 
 
-@query("ratios", _sql("SELECT counter_id, round(ratio, 6) AS dtv_volume_ratio FROM r"))
+@query("ratios", _sql("SELECT counter_id, round(ratio, 9) AS dtv_volume_ratio FROM r"))
 def ratios(spark, sf):
-    return rounded(out.with_ratio(t.matched(spark, sf)).select("counter_id", "dtv_volume_ratio"))
+    return rounded(out.with_ratio(t.matched(spark, sf)).select("counter_id", "dtv_volume_ratio"), RATIO_DIGITS)
 
 
 @query(
@@ -89,14 +90,14 @@ def severity(spark, sf):
 @query(
     "detect_all",
     _sql(
-        f"""SELECT counter_id, round(ratio, 6) AS dtv_volume_ratio, {IQR_OUT} AS is_outlier, {NO_VOLUME} AS has_no_volume,
+        f"""SELECT counter_id, round(ratio, 9) AS dtv_volume_ratio, {IQR_OUT} AS is_outlier, {NO_VOLUME} AS has_no_volume,
                    {BIAS} AS has_campaign_bias, {AMBIGUOUS} AS is_ambiguous, {SEVERITY} AS flag_severity FROM r, f"""
     ),
 )
 def detect_all(spark, sf):
     flagged, _ = _all_flags(spark, sf)
     cols = ("counter_id", "dtv_volume_ratio", "is_outlier", "has_no_volume", "has_campaign_bias", "is_ambiguous", "flag_severity")
-    return rounded(flagged.select(*cols))
+    return rounded(flagged.select(*cols), RATIO_DIGITS)
 
 
 @query("severity_breakdown", _sql(f"SELECT {SEVERITY} AS flag_severity, CAST(count(*) AS BIGINT) AS n FROM r, f GROUP BY 1"))
@@ -120,7 +121,7 @@ def detection_summary(spark, sf):
 @query(
     "severity_sort",
     _sql(
-        f"""SELECT counter_id, flag_severity, round(ratio, 6) AS dtv_volume_ratio, CAST(row_number() OVER (ORDER BY pr, ratio DESC NULLS LAST, counter_id) AS BIGINT) AS position
+        f"""SELECT counter_id, flag_severity, round(ratio, 9) AS dtv_volume_ratio, CAST(row_number() OVER (ORDER BY pr, ratio DESC NULLS LAST, counter_id) AS BIGINT) AS position
             FROM (SELECT *, CASE flag_severity WHEN 'critical' THEN 0 WHEN 'ambiguous' THEN 1 WHEN 'no_volume' THEN 2 WHEN 'warning' THEN 3
                          WHEN 'campaign_bias' THEN 4 WHEN 'carryover' THEN 5 WHEN 'ok' THEN 6 ELSE 7 END AS pr
                   FROM (SELECT *, {SEVERITY} AS flag_severity FROM r, f))
@@ -131,7 +132,7 @@ def severity_sort(spark, sf):
     top = sort_by_severity(_all_flags(spark, sf)[0], tie=["counter_id"]).limit(100)
     # the report shows the first hundred; their places are numbered after the cut
     w = F.row_number().over(out_window())
-    return rounded(top.select("counter_id", "flag_severity", "dtv_volume_ratio", w.cast("bigint").alias("position")))
+    return rounded(top.select("counter_id", "flag_severity", "dtv_volume_ratio", w.cast("bigint").alias("position")), RATIO_DIGITS)
 
 
 def out_window():
@@ -145,7 +146,7 @@ def out_window():
 @query(
     "verification_records",
     _sql(
-        f"""SELECT counter_id, dtv, count, round(ratio, 6) AS ratio, {SEVERITY} AS flag_severity, verification_status, {IQR_OUT} AS is_outlier,
+        f"""SELECT counter_id, dtv, count, round(ratio, 9) AS ratio, {SEVERITY} AS flag_severity, verification_status, {IQR_OUT} AS is_outlier,
                    {NO_VOLUME} AS has_no_volume, CAST(CASE WHEN d2 IS NULL THEN 1 ELSE 2 END AS INTEGER) AS n_candidates FROM r, f"""
     ),
 )
@@ -155,7 +156,8 @@ def verification_records(spark, sf):
         records.select(
             "counter_id", "dtv", "count", "ratio", "flag_severity", "verification_status", "is_outlier", "has_no_volume",
             F.size("candidate_edges").alias("n_candidates"),
-        )
+        ),
+        RATIO_DIGITS,
     )
 
 

@@ -80,8 +80,8 @@ CTE: dict[str, str] = {
     # the same per customer; one priority class is missing
     "station": """
         SELECT o_custkey AS id, CASE WHEN o_custkey % 7 = 6 THEN NULL ELSE CAST(o_custkey % 7 AS VARCHAR) END AS stratum,
-               round(sum(y_true) / 100, 2) AS y_true,
-               CASE WHEN o_custkey % 23 = 0 THEN CAST(0 AS DOUBLE) ELSE round(sum(y_pred) / 100, 2) END AS y_pred
+               round(sum(y_true), 2) / 100 AS y_true,
+               CASE WHEN o_custkey % 23 = 0 THEN CAST(0 AS DOUBLE) ELSE round(sum(y_pred), 2) / 100 END AS y_pred
         FROM (SELECT o_orderkey AS id, o_custkey, o_totalprice AS y_true, l.y_pred
               FROM orders JOIN (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS y_pred FROM lineitem GROUP BY 1) l
                 ON o_orderkey = l.l_orderkey) GROUP BY o_custkey""",
@@ -271,7 +271,7 @@ def station(spark: SparkSession, sf: str) -> DataFrame:
     return (
         scored(spark, sf)
         .groupBy("o_custkey")
-        .agg(F.round(F.sum("y_true") / 100, 2).alias("y_true"), F.round(F.sum("y_pred") / 100, 2).alias("p"))
+        .agg((F.round(F.sum("y_true"), 2) / 100).alias("y_true"), (F.round(F.sum("y_pred"), 2) / 100).alias("p"))
         .select(
             c.alias("id"),
             F.when(c % 7 != 6, (c % 7).cast("string")).alias("stratum"),
