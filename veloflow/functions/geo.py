@@ -98,30 +98,30 @@ def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
 
 
 def line_centroid(line: Column) -> Column:
-    """Length-weighted mean of segment midpoints; the plain vertex mean for zero length."""
+    """Length-weighted mean of the segment midpoints; a line without length is its first vertex."""
+    n = F.size(line)
+    rest = F.greatest(n - 1, F.lit(0))
 
-    def part(i: Column) -> Column:
-        a, b = F.element_at(line, i), F.element_at(line, i + 1)
-        length = F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"]))
+    def segment(a: Column, b: Column) -> Column:
+        length = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
+        return F.struct(length.alias("w"), ((a["x"] + b["x"]) / 2).alias("x"), ((a["y"] + b["y"]) / 2).alias("y"))
+
+    def add(acc: Column, s: Column) -> Column:
         return F.struct(
-            length.alias("w"),
-            (length * (a["x"] + b["x"]) / 2).alias("x"),
-            (length * (a["y"] + b["y"]) / 2).alias("y"),
+            (acc["w"] + s["w"]).alias("w"), (acc["x"] + s["w"] * s["x"]).alias("x"), (acc["y"] + s["w"] * s["y"]).alias("y")
         )
 
-    none = F.array().cast("array<struct<w:double,x:double,y:double>>")
-    parts = F.when(F.size(line) > 1, F.transform(F.sequence(F.lit(1), F.size(line) - 1), part)).otherwise(none)
-
-    def total(source: Column, field: str) -> Column:
-        return F.aggregate(source, F.lit(0.0), lambda acc, p: acc + p[field])
-
-    weight = total(parts, "w")
-    count = F.size(line).cast("double")
-
-    def mean(field: str) -> Column:
-        return F.when(weight > 0, total(parts, field) / weight).otherwise(total(line, field) / count)
+    def finish(acc: Column) -> Column:
+        first = F.get(line, F.lit(0))
+        has_length = acc["w"] > 0
+        return F.struct(
+            F.when(has_length, acc["x"] / acc["w"]).otherwise(first["x"]).alias("x"),
+            F.when(has_length, acc["y"] / acc["w"]).otherwise(first["y"]).alias("y"),
+        )
 
-    return F.when(F.size(line) > 0, F.struct(mean("x").alias("x"), mean("y").alias("y")))
+    segments = F.zip_with(F.slice(line, 1, rest), F.slice(line, 2, rest), segment)
+    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    return F.when(n > 0, F.aggregate(segments, zero, add, finish))
 
 
 def line_to_wkt(line: Column) -> Column:

@@ -75,10 +75,16 @@ def fit_model(
     seed: int = 42,
     key: Sequence[str] = ("id",),
     parallelism: int = 4,
+    cache: bool = True,
     **params: Any,
 ) -> TrainedModel:
-    """Fit one regressor; with ``tune`` its grid is searched by cross-validated R²."""
+    """Fit one regressor; with ``tune`` its grid is searched by cross-validated R².
+
+    Scalers and solver pass over the rows several times, so the needed columns are kept.
+    """
     started = time.perf_counter()
+    columns = list(dict.fromkeys([*features, target, *[k for k in key if k in df.columns]]))
+    df = reuse(df.select(*columns)) if cache else df
     prep = FeaturePrep(list(features)).fit(df)
     tt = TargetTransform.fitted(df, target, transform)
     estimator = get_model(name, labelCol=LABEL, featuresCol="features", **params)
@@ -103,6 +109,8 @@ def fit_model(
         folded.unpersist()
     else:
         model = estimator.fit(ready)
+    if cache:
+        df.unpersist()
     return TrainedModel(name, model, prep, tt, list(features), best, time.perf_counter() - started)
 
 
@@ -122,7 +130,7 @@ def out_of_fold(
     folded = reuse(df.withColumn("fold", hash_bucket(key, seed, folds).cast("int")))
     parts = None
     for k in range(folds):
-        trained = fit_model(folded.where(F.col("fold") != k), name, features, target, seed=seed, key=key, **params)
+        trained = fit_model(folded.where(F.col("fold") != k), name, features, target, seed=seed, key=key, cache=False, **params)
         part = trained.predict(folded.where(F.col("fold") == k), output)
         parts = part if parts is None else parts.unionByName(part)
     return parts

@@ -69,22 +69,15 @@ def _cover(segments: DataFrame, size: float) -> DataFrame:
 
 def line_segments(edges: DataFrame, columns: Sequence[str], line: str = "line", crs: str = "mercator") -> DataFrame:
     """One row per segment of each line, projected; a single vertex gives a zero-length segment."""
-    projected = F.col(line) if crs == "plane" else project_line(F.col(line), crs)
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_line") - 2, F.lit(0)))
-    ends = F.transform(
-        starts,
-        lambda i: F.struct(
-            F.get("_line", i).alias("a"), F.get("_line", F.least(i + 1, F.size("_line") - 1)).alias("b")
-        ),
-    )
-    return (
-        edges.select(*columns, projected.alias("_line"))
-        .where(F.size("_line") > 0)
-        .select(*columns, F.explode(ends).alias("_s"))
-        .select(
-            *columns, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"), F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")
-        )
-    )
+    v = F.col(line)
+    n = F.size(v)
+    # a segment per pair of neighbours; a lone vertex pairs with itself
+    starts, ends = F.slice(v, 1, F.greatest(n - 1, F.lit(1))), F.slice(v, F.least(n, F.lit(2)), F.greatest(n - 1, F.lit(1)))
+    pairs = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    rows = edges.where(n > 0).select(*columns, F.explode(pairs).alias("_s"))
+    x1, y1 = project(F.col("_s.a.x"), F.col("_s.a.y"), crs)
+    x2, y2 = project(F.col("_s.b.x"), F.col("_s.b.y"), crs)
+    return rows.select(*columns, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
 
 def _with_position(df: DataFrame, lon: str, lat: str, crs: str) -> DataFrame:
@@ -92,6 +85,14 @@ def _with_position(df: DataFrame, lon: str, lat: str, crs: str) -> DataFrame:
     return df.withColumns({"px": x, "py": y})
 
 
+def _with_point(df: DataFrame, point: Column, x: str, y: str) -> DataFrame:
+    """Add the coordinates of a computed point.
+
+    A generator row keeps the optimizer from copying the computation into each later use.
+    """
+    return df.select("*", F.inline(F.array(point)).alias(x, y))
+
+
 def _locations(df: DataFrame) -> DataFrame:
     return df.select("px", "py").where("px is not null and py is not null").distinct()
 
@@ -323,7 +324,7 @@ def _nearest_place(points: DataFrame, places: DataFrame, root: float, depth: int
     leaf = root / TREE_FANOUT**depth
     own = points.withColumns({"ci": _floor_cell(F.col("ux"), leaf), "cj": _floor_cell(F.col("uy"), leaf)})
     bounds = [f(c).alias(a) for f, c, a in ((F.min, "px", "ax"), (F.max, "px", "bx"), (F.min, "py", "ay"), (F.max, "py", "by"))]
-    opened = own.groupBy("ci", "cj").agg(*bounds).withColumns({"nx": F.lit(0).cast("long"), "ny": F.lit(0).cast("long")})
+    opened = own.groupBy("ci", "cj").agg(*bounds)
     kept = ("ci", "cj", "ax", "bx", "ay", "by")
     for level in range(1, depth + 2):
         if level <= depth:
@@ -340,11 +341,18 @@ def _nearest_place(points: DataFrame, places: DataFrame, root: float, depth: int
             )
             parent = (F.col("kx"), F.col("ky"))
         boxes = boxes.withColumns({"nx": parent[0], "ny": parent[1]})
-        # the first levels have at most 16, 256 and 4096 boxes by construction
-        children = F.broadcast(boxes) if level <= min(depth, SMALL_TREE_LEVELS) else boxes
+        if level == 1:
+            # below the root there are at most 16 boxes, they travel as one literal
+            fields = ("kx", "ky", "qx0", "qx9", "qy0", "qy9")
+            top = boxes.agg(F.collect_list(F.struct(*fields))).scalar()
+            opened = opened.select(*kept, F.inline(top).alias(*fields))
+        else:
+            # the next two levels have at most 256 and 4096 boxes by construction
+            children = F.broadcast(boxes) if level <= min(depth, SMALL_TREE_LEVELS) else boxes
+            opened = opened.select(*kept, "nx", "ny").join(children, ["nx", "ny"])
         gap_x, reach_x = _box_range(*(F.col(c) for c in ("ax", "bx", "qx0", "qx9")))
         gap_y, reach_y = _box_range(*(F.col(c) for c in ("ay", "by", "qy0", "qy9")))
-        pairs = opened.select(*kept, "nx", "ny").join(children, ["nx", "ny"]).select(
+        pairs = opened.select(
             *kept,
             F.col("kx").alias("nx"),
             F.col("ky").alias("ny"),
@@ -467,8 +475,7 @@ def join_lines_to_units(
     cell: float = 0.1,
 ) -> DataFrame:
     """Edges with the unit their centroid lies within (outline excluded)."""
-    middle = line_centroid(F.col(line))
-    located = edges.drop(*columns).withColumn("_m", middle).withColumns({"px": F.col("_m.x"), "py": F.col("_m.y")}).drop("_m")
+    located = _with_point(edges.drop(*columns), line_centroid(F.col(line)), "px", "py")
     out = _join_first_unit(located, units, key, rings, columns, False, cell).withColumnRenamed("unit", output_key)
     return out if how == "left" else out.where(F.col(output_key).isNotNull())
 
@@ -477,6 +484,6 @@ def line_distance_to_nearest(edges: DataFrame, centroids: DataFrame, *, line: st
     """Distance from the projected centroid of each line to the nearest place."""
     middle = line_centroid(project_line(F.col(line), "mercator"))
     places = _with_position(centroids, kwargs.pop("lon", "longitude"), kwargs.pop("lat", "latitude"), "mercator")
-    placed = edges.withColumn("_m", middle).withColumns({"_mx": F.col("_m.x"), "_my": F.col("_m.y")}).drop("_m")
+    placed = _with_point(edges, middle, "_mx", "_my")
     targets = places.select(F.col("px").alias("_mx"), F.col("py").alias("_my"))
     return distance_to_nearest(placed, targets, lon="_mx", lat="_my", crs="plane", **kwargs).drop("_mx", "_my")

@@ -12,6 +12,7 @@ from ..operators.dedupe import keep_first
 from ..operators.features import feature_pipeline
 from ..operators.joins import join_infrastructure
 from ..operators.spatial import edges_near_counters
+from ..session import reuse
 from .etl import EtlInputs, EtlResult, Structure, add_structure_simple, run_etl
 
 
@@ -32,7 +33,8 @@ def run_prediction(
 ) -> DataFrame:
     """``edge_id, base_id, predicted_dtv`` with volume, infrastructure class and line."""
     table = edge_features(edges, structure, infrastructure, edge_key)
-    features = model_features(table, [f for f, _ in trained.prep.plan()], keep=[edge_key])
+    # filling gaps reads the features once per column, the joins behind them should run once
+    features = reuse(model_features(table, [f for f, _ in trained.prep.plan()], keep=[edge_key]))
     scored = predict_volumes(trained, features).select(edge_key, "predicted_dtv")
     kept = [edge_key, "base_id", "line", F.col("count").alias("campaign_count")]
     if "bicycle_infrastructure" in edges.columns:
