@@ -89,7 +89,7 @@ GERMAN_MONTHS = {
 
 def first_lines(spark: SparkSession, path: str, n: int, encoding: str = "UTF-8") -> list[str]:
     """First lines of a text file, for its header only."""
-    lines = spark.read.option("encoding", encoding).text(path).head(n)
+    lines = spark.read.option("encoding", _file_encoding(encoding)).text(path).head(n)
     return [r["value"].lstrip("﻿") for r in lines]
 
 
@@ -98,12 +98,36 @@ def sniff_separator(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
     return ";" if head and len(head[0].split(";")) > 1 else ","
 
 
+WINDOWS_1252 = ("windows-1252", "cp1252")
+
+
+def _windows_letters() -> tuple[str, str]:
+    """Characters in which Windows-1252 differs from ISO-8859-1, as read and as meant."""
+    pairs = []
+    for code in range(0x80, 0xA0):
+        try:
+            pairs.append((chr(code), bytes([code]).decode("cp1252")))
+        except UnicodeDecodeError:
+            continue  # unassigned
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def _file_encoding(encoding: str) -> str:
+    """Spark reads ISO-8859-1 but not Windows-1252, see :func:`_windows_letters`."""
+    return "ISO-8859-1" if encoding.lower() in WINDOWS_1252 else encoding
+
+
 def read_csv(
     spark: SparkSession, path: str, sep: str | None = None, encoding: str = "UTF-8", schema: T.StructType | str | None = None
 ) -> DataFrame:
     """CSV with a header as text columns (cast later), or with a stated schema."""
-    reader = spark.read.option("header", True).option("encoding", encoding).option("sep", sep or sniff_separator(spark, path, encoding))
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    reader = spark.read.option("header", True).option("encoding", _file_encoding(encoding))
+    reader = reader.option("sep", sep or sniff_separator(spark, path, encoding))
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
+    if encoding.lower() in WINDOWS_1252:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: F.translate(F.col(f"`{c}`"), *_windows_letters()) for c in texts})
+    return df
 
 
 def _numbers(df: DataFrame, doubles: Sequence[str] = (), longs: Sequence[str] = ()) -> DataFrame:
@@ -173,7 +197,7 @@ def read_counter_measurements(spark: SparkSession, path: str, encoding: str = "U
     if time_column is None:
         raise ValueError("Could not find timestamp column in counter measurements")
     sample = lines[3].split(",")[names.index(time_column)].strip('"') if len(lines) > 3 else ""
-    rows = spark.read.schema(schema).option("header", False).option("encoding", encoding).csv(path)
+    rows = spark.read.schema(schema).option("header", False).option("encoding", _file_encoding(encoding)).csv(path)
     return measurements_to_long(rows, time_column, sample)
 
 
@@ -363,7 +387,7 @@ def read_any(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
         header = first_lines(spark, path, 1, encoding)[0]
         fields = [T.StructField(c.strip().strip('"'), T.StringType()) for c in header.split(sep)]
         schema = T.StructType([*fields, T.StructField("_bad", T.StringType())])
-        reader = spark.read.schema(schema).option("header", True).option("encoding", encoding).option("sep", sep)
+        reader = spark.read.schema(schema).option("header", True).option("encoding", _file_encoding(encoding)).option("sep", sep)
         return reader.option("columnNameOfCorruptRecord", "_bad").csv(path).where("_bad is null").drop("_bad")
     return spark.read.parquet(path)
 
