@@ -109,14 +109,14 @@ def campaign_days(spark, sf):
     """WITH w AS (SELECT date_trunc('day', ts) AS day,
                         CAST(sum(value) FILTER (WHERE event_type = 'click') AS DOUBLE) AS a,
                         CAST(sum(value) FILTER (WHERE event_type = 'error') AS DOUBLE) AS b,
-                        CAST(sum(value) FILTER (WHERE event_type = 'view' AND user_id % 40 = 1) AS DOUBLE) AS c FROM events GROUP BY 1)
+                        CAST(sum(value) FILTER (WHERE event_type = 'view' AND value > 200) AS DOUBLE) AS c FROM events GROUP BY 1)
        SELECT day AS timestamp, counter_id, CAST(trunc(n) AS BIGINT) AS count
        FROM (SELECT day, 'click' AS counter_id, a AS n FROM w UNION ALL SELECT day, 'error', b FROM w UNION ALL SELECT day, 'view', c FROM w)
        WHERE n IS NOT NULL""",
 )
 def measurement_unpivot(spark, sf):
     e = table(spark, sf, "events")
-    kept = e.where("event_type in ('click', 'error') or (event_type = 'view' and user_id % 40 = 1)")
+    kept = e.where("event_type in ('click', 'error') or (event_type = 'view' and value > 200)")
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("timestamp")
     wide = kept.groupBy(day).pivot("event_type", ["click", "error", "view"]).agg(F.sum("value"))
     return measurements_to_long(wide, "timestamp")

@@ -109,11 +109,11 @@ CTE: dict[str, str] = {
                (8050 + 200 * (n_nationkey % 5)) / 1000 AS hx0, (8150 + 200 * (n_nationkey % 5)) / 1000 AS hx9,
                (50050 + 200 * (n_nationkey // 5)) / 1000 AS hy0, (50150 + 200 * (n_nationkey // 5)) / 1000 AS hy9
         FROM nation""",
-    # places: every order priority cluster gets many, from the customers
+    # one place per customer
     "place": """
         SELECT c_custkey AS k, (70000 + (c_custkey * 7877) % 30000) / 10000 AS longitude,
                (495000 + (c_custkey * 5821) % 20000) / 10000 AS latitude
-        FROM customer WHERE c_mktsegment = 'BUILDING'""",
+        FROM customer""",
 }
 
 
@@ -318,12 +318,8 @@ def tile(spark: SparkSession, sf: str) -> DataFrame:
 
 def place(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("c_custkey")
-    return (
-        table(spark, sf, "customer")
-        .where("c_mktsegment = 'BUILDING'")
-        .select(
-            c.alias("k"),
-            ((F.lit(70000) + (c * 7877) % 30000) / 10000).alias("longitude"),
-            ((F.lit(495000) + (c * 5821) % 20000) / 10000).alias("latitude"),
-        )
+    return table(spark, sf, "customer").select(
+        c.alias("k"),
+        ((F.lit(70000) + (c * 7877) % 30000) / 10000).alias("longitude"),
+        ((F.lit(495000) + (c * 5821) % 20000) / 10000).alias("latitude"),
     )

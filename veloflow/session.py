@@ -27,19 +27,22 @@ def local_session(cores: int | str = 8, app: str = "veloflow", **conf: str) -> S
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; only tests fall back to a local one."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and not _checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="veloflow-ckpt-"))
-    elif not _checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local session (tests) falls back to a folder of its own; on a cluster an unnamed folder is
+    an error, because a machine-local one would be lost with its executor.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("Set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="veloflow-ckpt-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
-def _checkpoint_dir(spark: SparkSession) -> str | None:
-    return spark.sparkContext.getCheckpointDir()
-
-
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a frame that several branches of one plan read; lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
