@@ -11,6 +11,6 @@ from veloflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(8, "tests")
+    s = local_session(8, "tests", sql__shuffle__partitions="4")
     s.sparkContext.setLogLevel("OFF")
     return s

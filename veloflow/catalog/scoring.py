@@ -165,6 +165,8 @@ def sample(spark, sf):
 
 # --- calibration -----------------------------------------------------------------------------
 
+# values in the ten thousands; the exponential carries the order of summation into their ninth digit
+LOG_DIGITS = 2
 VALID = "y_pred > 0 AND y_true >= 0"
 FACTOR = f"coalesce(least(greatest(median(CASE WHEN {VALID} THEN y_true / y_pred END), 0.1::DOUBLE), 10), 1)"
 LINE = "regr_sxy(ln(1 + y_true), ln(1 + y_pred)) / (regr_sxx(ln(1 + y_true), ln(1 + y_pred)) + 1)"
@@ -179,14 +181,14 @@ def calib_global(spark, sf):
 @query(
     "calib_loglinear",
     t.sql(
-        f"""SELECT id, round(greatest(exp(a * ln(1 + y_pred) + my - a * mx) - 1, 0), 5) AS y_calibrated
+        f"""SELECT id, round(greatest(exp(a * ln(1 + y_pred) + my - a * mx) - 1, 0), {LOG_DIGITS}) AS y_calibrated
             FROM station, (SELECT {LINE} AS a, avg(ln(1 + y_true)) AS my, avg(ln(1 + y_pred)) AS mx FROM station)""",
         "station",
     ),
 )
 def calib_loglinear(spark, sf):
     s = t.station(spark, sf)
-    return rounded(cal.LogLinear().fit(s).apply(s).select("id", "y_calibrated"), 5)
+    return rounded(cal.LogLinear().fit(s).apply(s).select("id", "y_calibrated"), LOG_DIGITS)
 
 
 @query(
@@ -230,7 +232,7 @@ LOO_LINE = "regr_sxy(ln(1 + b.y_true), ln(1 + b.y_pred)) / (regr_sxx(ln(1 + b.y_
 @query(
     "calib_loocv_loglinear",
     t.sql(
-        f"""SELECT id, round(abs(greatest(exp(s * ln(1 + y_pred) + my - s * mx) - 1, 0) - y_true), 5) AS abs_error FROM
+        f"""SELECT id, round(abs(greatest(exp(s * ln(1 + y_pred) + my - s * mx) - 1, 0) - y_true), {LOG_DIGITS}) AS abs_error FROM
               (SELECT a.id, a.y_pred, a.y_true, {LOO_LINE} AS s, avg(ln(1 + b.y_true)) AS my, avg(ln(1 + b.y_pred)) AS mx
                FROM station a JOIN station b ON a.id <> b.id GROUP BY 1, 2, 3)""",
         "station",
@@ -238,13 +240,13 @@ LOO_LINE = "regr_sxy(ln(1 + b.y_true), ln(1 + b.y_pred)) / (regr_sxx(ln(1 + b.y_
 )
 def calib_loocv_loglinear(spark, sf):
     s = t.station(spark, sf)
-    return rounded(cal.loocv_errors(cal.LogLinear().fit(s), s).select("id", "abs_error"), 5)
+    return rounded(cal.loocv_errors(cal.LogLinear().fit(s), s).select("id", "abs_error"), LOG_DIGITS)
 
 
 @query(
     "calib_loocv_summary",
     t.sql(
-        f"""SELECT round(avg(e), 5) AS mae_mean, round(stddev_pop(e), 5) AS mae_std, round(sqrt(avg(e * e)), 5) AS rmse_mean, round(stddev_pop(e), 5) AS rmse_std,
+        f"""SELECT round(avg(e), 3) AS mae_mean, round(stddev_pop(e), 3) AS mae_std, round(sqrt(avg(e * e)), 3) AS rmse_mean, round(stddev_pop(e), 3) AS rmse_std,
                    CAST(count(*) AS BIGINT) AS n_folds FROM (
               SELECT abs(greatest(exp(s * ln(1 + y_pred) + my - s * mx) - 1, 0) - y_true) AS e FROM
                 (SELECT a.id, a.y_pred, a.y_true, {LOO_LINE} AS s, avg(ln(1 + b.y_true)) AS my, avg(ln(1 + b.y_pred)) AS mx
@@ -254,7 +256,7 @@ def calib_loocv_loglinear(spark, sf):
 )
 def calib_loocv_summary(spark, sf):
     s = t.station(spark, sf)
-    return rounded(cal.loocv(cal.LogLinear().fit(s), s), 5)
+    return rounded(cal.loocv(cal.LogLinear().fit(s), s), 3)
 
 
 @query(

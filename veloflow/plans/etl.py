@@ -125,13 +125,16 @@ def run_etl(inputs: EtlInputs, mode: str = "production", drop_discarded: bool =
     if mode == "production" and inputs.verified is not None:
         matched = join_verified(counters, inputs.verified, drop_discarded)
     else:
+        # matching, candidates and counts all start from the counters
+        counters = reuse(counters)
         matched = match_nearest_edge(counters, edges, MATCH_LIMIT_M)
         if mode == "verification":
-            pairs = candidate_pairs(counters, edges, MATCH_LIMIT_M) if ambiguity_from_pairs else None
+            pairs = reuse(candidate_pairs(counters, edges, MATCH_LIMIT_M)) if ambiguity_from_pairs else None
             merged = merge_verifications(matched, inputs.verified)
             # the detectors read the matches several times to fit their limits
             merged = reuse(merged if ambiguity_from_pairs else find_candidate_edges(merged, edges, MATCH_LIMIT_M))
             review, fences = detect_all(merged, pairs=pairs)
+            review = reuse(review)
             matched = review
     kept = matched_only(matched).transform(add_structure, inputs.structure)
     features = feature_pipeline(kept)

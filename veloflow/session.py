@@ -22,7 +22,7 @@ def local_session(cores: int | str = 8, app: str = "veloflow", **conf: str) -> S
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config("spark." + key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
