@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,8 +51,7 @@ def fit_fences(df: DataFrame, column: str = "dtv_volume_ratio", method: str = "i
     if method == "zscore":
         v = finite(F.col(column))
         row = df.agg(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")).first()
-        nan = float("nan")
-        deviation = row["s"] if row["s"] is not None else nan  # undefined for a single value
+        deviation = math.nan if row["s"] is None else row["s"]  # undefined for a single value
         lower, upper = row["m"] - 3 * deviation, row["m"] + 3 * deviation
     return Fences(q["n"], lower, upper, q["median"], q["q25"], q["q75"])
 
@@ -76,14 +76,12 @@ def flag_outliers(
 ) -> DataFrame:
     """``is_outlier`` and a first severity; an extreme ratio is critical even when verified."""
     f = fences or fit_fences(df, column, method, factor)
-    r = F.col(column)
-    if not f.n_valid:
+    if not f.n_valid or math.isnan(f.upper):
         return df.withColumns({"is_outlier": F.lit(False), "flag_severity": F.lit("ok")})
-    outside = _flag((r < f.lower) | ((r > f.upper) & ~F.isnan(r)) if f.upper == f.upper else F.lit(False))
-    flagged = outside & ~_is_verified(df, skip_verified)
-    critical = _flag(r > f.upper * CRITICAL_FACTOR) if f.upper == f.upper else F.lit(False)
-    severity = F.when(critical, "critical").when(F.col("is_outlier"), "warning").otherwise("ok")
-    return df.withColumn("is_outlier", flagged).withColumn("flag_severity", severity)
+    r = finite(F.col(column))
+    outside = _flag((r < f.lower) | (r > f.upper)) & ~_is_verified(df, skip_verified)
+    severity = F.when(r > f.upper * CRITICAL_FACTOR, "critical").when(F.col("is_outlier"), "warning").otherwise("ok")
+    return df.withColumn("is_outlier", outside).withColumn("flag_severity", severity)
 
 
 def flag_no_volume(df: DataFrame, volume: str = "count") -> DataFrame:
@@ -146,7 +144,7 @@ def assign_severity(df: DataFrame, skip_verified: bool = True, fences: Fences |
     if "dtv_volume_ratio" in df.columns:
         f = fences or fit_fences(df)
         if f.n_valid:
-            steps.append(("critical", F.col("dtv_volume_ratio") > f.critical))
+            steps.append(("critical", finite(F.col("dtv_volume_ratio")) > f.critical))
     for name, column in (
         ("ambiguous", "is_ambiguous"),
         ("no_volume", "has_no_volume"),
