@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veloflow.llm.mixing import mix
+from veloflow.llm.neardup import near_duplicates
+from veloflow.llm.packing import pack
 from veloflow.llm.quality import quality_report
+from veloflow.llm.secrets import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +23,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -42,5 +62,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-QUERIES: dict[str, Query] = {"op5_quality_rules": op5_quality_rules}
-ORACLE: dict[str, str] = {"op5_quality_rules": QUALITY_SQL}
+MIXING_SQL = r"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  md5(coalesce(doc_id::VARCHAR, chr(0))) AS turn FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS weight FROM sources),
+fill AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+  coalesce(sum(3 * source_size) OVER before, 0) AS caps_before, coalesce(sum(weight) OVER before, 0) AS weights_before
+  FROM weighed WINDOW before AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+rates AS (SELECT min_by(total - caps_before, weights_before) AS top, min_by(weights - weights_before, weights_before) AS bottom
+  FROM fill WHERE weight * (total - caps_before) <= 3 * source_size * (weights - weights_before)),
+aimed AS (SELECT source, source_size, CASE WHEN weight * top > 3 * source_size * bottom THEN (3 * source_size)::DOUBLE
+  ELSE weight::DOUBLE * top::DOUBLE / bottom::DOUBLE END AS target FROM weighed, rates),
+placed AS (SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget,
+  coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY turn, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target, (CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+  + greatest(0, least(size, budget - budget // source_size * source_size - start)) END)::BIGINT AS taken FROM placed
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op4_mixing, op5_quality_rules, op8_simhash_near_dedup, op10_best_fit_packing)}
+ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op5_quality_rules": QUALITY_SQL}
