@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veloflow.llm.chat import render
+from veloflow.llm.html_text import extract
 from veloflow.llm.mixing import mix
 from veloflow.llm.neardup import near_duplicates
 from veloflow.llm.packing import pack
 from veloflow.llm.quality import quality_report
+from veloflow.llm.search import every_twentieth, top_k
 from veloflow.llm.secrets import scan
+from veloflow.llm.token_files import token_files
+from veloflow.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,18 +28,39 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op1_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return top_k(docs, every_twentieth(docs))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render(table(spark, sf_dir, "conversations"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -81,5 +107,57 @@ SELECT doc_id, size, source_size, target, (CASE WHEN source_size = 0 THEN 0 ELSE
   + greatest(0, least(size, budget - budget // source_size * source_size - start)) END)::BIGINT AS taken FROM placed
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op4_mixing, op5_quality_rules, op8_simhash_near_dedup, op10_best_fit_packing)}
-ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op5_quality_rules": QUALITY_SQL}
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+tf AS (SELECT r, doc_id, word, count(*) AS tf FROM (SELECT r, doc_id, unnest(ws) AS word FROM d) GROUP BY ALL),
+stats AS (SELECT count(*) AS n, greatest(sum(len(ws)), 1) / count(*) AS mean FROM d),
+sizes AS (SELECT r, len(ws) AS size FROM d),
+df AS (SELECT word, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, stats GROUP BY word),
+q AS (SELECT doc_id AS query_id, word, tf * idf AS weight FROM tf JOIN df USING (word) WHERE doc_id % 20 = 0),
+scored AS (SELECT query_id, tf.doc_id, round(sum(weight * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score
+  FROM q JOIN tf USING (word) JOIN sizes USING (r), stats GROUP BY query_id, r, tf.doc_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f
+"""
+
+CHAT_SQL = """
+WITH lines AS (SELECT conv_id, turn, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS line FROM conversations),
+p AS (SELECT conv_id, string_agg(line, '') OVER so_far AS prefix, row_number() OVER so_far AS place, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM lines WINDOW so_far AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+whole AS (SELECT prefix, n, min(conv_id) AS conv_id, count(*) AS n_equal FROM p WHERE place = n GROUP BY prefix, n)
+SELECT conv_id, n AS n_turns, n_equal, prefix AS rendered FROM whole
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.place < p.n AND p.place = whole.n AND p.prefix = whole.prefix)
+"""
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_exact_top_k_search,
+        op2_secret_scans,
+        op3_token_files,
+        op4_mixing,
+        op5_quality_rules,
+        op6_warc,
+        op7_chat_formatting,
+        op8_simhash_near_dedup,
+        op9_html_extraction,
+        op10_best_fit_packing,
+    )
+}
+ORACLE: dict[str, str] = {
+    "op1_exact_top_k_search": SEARCH_SQL,
+    "op4_mixing": MIXING_SQL,
+    "op5_quality_rules": QUALITY_SQL,
+    "op6_warc": WARC_SQL,
+    "op7_chat_formatting": CHAT_SQL,
+}
