@@ -41,7 +41,7 @@ MIN_SCORE = 4.0
 NAME = r"[A-Za-z_$][A-Za-z0-9_$.\-]*"
 #: Words, strings with escapes, signs of assignment and joining; anything else separates.
 LEX = re.compile(
-    rf"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)|(?P<tag><({NAME})>(?P<inner>[^<>\n]+)</\3>)|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$.\-/+]*=*(?![=:>])|{NAME})|(?P<sign>:=|=>|==|!=|<=|>=|[=:+,;()\[\]{{}}]|\n)|(?P<other>[^\sA-Za-z0-9_$])"""
+    rf"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)|(?P<tag><({NAME})>(?P<inner>[^<>\n]+)</\3>)|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$.\-/+]*)|(?P<sign>:=|=>|==|!=|<=|>=|[=:+,;()\[\]{{}}]|\n)|(?P<other>[^\sA-Za-z0-9_$])"""
 )
 SIGNS = ("=", ":", ":=", "=>")
 
