@@ -178,8 +178,9 @@ def _reference(spark, sf):
 
 def _edited(spark, sf):
     r = _reference(spark, sf)
-    return r.where("id % 10 <> 9").select(
-        "id",
+    return r.select(
+        # every tenth row has a key that the reference lacks
+        (F.col("id") + F.when(F.col("id") % 10 == 9, 10**12).otherwise(0)).alias("id"),
         F.when(F.col("id") % 6 == 0, None).when(F.col("id") % 6 == 1, F.col("o_totalprice") * 1.1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
         F.concat(F.col("o_orderstatus"), F.lit(" ")).alias("o_orderstatus"),
         F.lit(1).alias("only_here"),

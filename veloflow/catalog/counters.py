@@ -109,16 +109,20 @@ def campaign_days(spark, sf):
     """WITH w AS (SELECT date_trunc('day', ts) AS day,
                         CAST(sum(value) FILTER (WHERE event_type = 'click') AS DOUBLE) AS a,
                         CAST(sum(value) FILTER (WHERE event_type = 'error') AS DOUBLE) AS b,
-                        CAST(sum(value) FILTER (WHERE event_type = 'view' AND value > 200) AS DOUBLE) AS c FROM events GROUP BY 1)
+                        CAST(sum(value) FILTER (WHERE event_type = 'view') AS DOUBLE) AS c,
+                        CAST(sum(CASE WHEN value > 200 THEN value END) FILTER (WHERE event_type = 'signup') AS DOUBLE) AS d,
+                        CAST(sum(value) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS e FROM events GROUP BY 1)
        SELECT day AS timestamp, counter_id, CAST(trunc(n) AS BIGINT) AS count
-       FROM (SELECT day, 'click' AS counter_id, a AS n FROM w UNION ALL SELECT day, 'error', b FROM w UNION ALL SELECT day, 'view', c FROM w)
+       FROM (SELECT day, 'click' AS counter_id, a AS n FROM w UNION ALL SELECT day, 'error', b FROM w UNION ALL SELECT day, 'view', c FROM w
+             UNION ALL SELECT day, 'signup', d FROM w UNION ALL SELECT day, 'purchase', e FROM w)
        WHERE n IS NOT NULL""",
 )
 def measurement_unpivot(spark, sf):
     e = table(spark, sf, "events")
-    kept = e.where("event_type in ('click', 'error') or (event_type = 'view' and value > 200)")
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("timestamp")
-    wide = kept.groupBy(day).pivot("event_type", ["click", "error", "view"]).agg(F.sum("value"))
+    # small sign-ups count as cells without a number
+    number = F.when((F.col("event_type") != "signup") | (F.col("value") > 200), F.col("value"))
+    wide = e.groupBy(day).pivot("event_type", ["click", "error", "view", "signup", "purchase"]).agg(F.sum(number))
     return measurements_to_long(wide, "timestamp")
 
 
@@ -443,10 +447,10 @@ def lookup_padded_query(spark, sf):
 @query(
     "image_counts",
     """SELECT c_custkey AS counter_id, CAST(count(o_orderkey) AS BIGINT) AS image_count
-       FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT' GROUP BY 1""",
+       FROM customer LEFT JOIN orders ON o_custkey * 2 = c_custkey GROUP BY 1""",
 )
 def image_counts_query(spark, sf):
-    images = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("counter_id"))
+    images = table(spark, sf, "orders").select((F.col("o_custkey") * 2).alias("counter_id"))
     return image_counts(images, table(spark, sf, "customer").select(F.col("c_custkey").alias("counter_id")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import outliers as out
 from ..operators.columns import detect_station_columns
-from ..operators.ranking import sample_failures, sort_by_severity, top_importances
+from ..operators.ranking import number_by_severity, sample_failures, top_importances
 from ..sources.writers import counter_records, export_metadata, geojson_features, station_records
 from . import stand_ins as t
 from .registry import query, rounded, table
@@ -124,23 +124,12 @@ def detection_summary(spark, sf):
         f"""SELECT counter_id, flag_severity, round(ratio, 9) AS dtv_volume_ratio, CAST(row_number() OVER (ORDER BY pr, ratio DESC NULLS LAST, counter_id) AS BIGINT) AS position
             FROM (SELECT *, CASE flag_severity WHEN 'critical' THEN 0 WHEN 'ambiguous' THEN 1 WHEN 'no_volume' THEN 2 WHEN 'warning' THEN 3
                          WHEN 'campaign_bias' THEN 4 WHEN 'carryover' THEN 5 WHEN 'ok' THEN 6 ELSE 7 END AS pr
-                  FROM (SELECT *, {SEVERITY} AS flag_severity FROM r, f))
-            QUALIFY position <= 100"""
+                  FROM (SELECT *, {SEVERITY} AS flag_severity FROM r, f))"""
     ),
 )
 def severity_sort(spark, sf):
-    top = sort_by_severity(_all_flags(spark, sf)[0], tie=["counter_id"]).limit(100)
-    # the report shows the first hundred; their places are numbered after the cut
-    w = F.row_number().over(out_window())
-    return rounded(top.select("counter_id", "flag_severity", "dtv_volume_ratio", w.cast("bigint").alias("position")), RATIO_DIGITS)
-
-
-def out_window():
-    from pyspark.sql import Window
-
-    from ..operators.ranking import severity_rank
-
-    return Window.orderBy(severity_rank(F.col("flag_severity")), F.col("dtv_volume_ratio").desc_nulls_last(), "counter_id")
+    flags = _all_flags(spark, sf)[0].select("counter_id", "flag_severity", "dtv_volume_ratio")
+    return rounded(number_by_severity(flags, tie=["counter_id"]), RATIO_DIGITS)
 
 
 @query(

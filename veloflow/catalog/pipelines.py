@@ -49,8 +49,8 @@ def structure(spark, sf):
     tiles = t.tile(spark, sf).withColumn("n", F.substring("ars", 3, 3).cast("int"))
     municipalities = tiles.select("ars", "name", "rings", F.when(n % 8 == 0, 0).otherwise((n + 1) * 1000).cast("bigint").alias("population"))
     regiostar = tiles.select("ars", (F.lit(51) + n % 5).alias("regiostar5"), (F.lit(71) + n % 7).alias("regiostar7"))
-    demographics = tiles.where(n % 6 != 1).select(
-        "ars", (n * 10 + 3).cast("bigint").alias("n_users"), (n * 100).cast("bigint").alias("n_trips"), (n * 7.5).alias("total_km")
+    demographics = tiles.select(
+        F.when(n % 6 == 1, F.concat(F.lit("99"), F.substring("ars", 3, 10))).otherwise(F.col("ars")).alias("ars"), (n * 10 + 3).cast("bigint").alias("n_users"), (n * 100).cast("bigint").alias("n_trips"), (n * 7.5).alias("total_km")
     )
     return Structure(municipalities, regiostar, t.place(spark, sf), demographics)
 

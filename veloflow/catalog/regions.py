@@ -18,8 +18,9 @@ WAYS = "SELECT CAST(p_partkey // 3 AS VARCHAR) AS osm_id, p_type AS cls FROM par
 
 def _ways(spark, sf):
     p = F.col("p_partkey")
-    return table(spark, sf, "part").where(p % 5 != 0).select(
-        F.floor(p / 3).cast("string").alias("osm_id"), F.col("p_type").alias("bicycle_infrastructure")
+    return table(spark, sf, "part").select(
+        # every fifth way gets a number that no edge has
+        (F.floor(p / 3) + F.when(p % 5 == 0, 10**12).otherwise(0)).cast("string").alias("osm_id"), F.col("p_type").alias("bicycle_infrastructure")
     )
 
 
@@ -66,9 +67,9 @@ def _checked(spark, sf):
     s = F.col("s_suppkey")
     return (
         table(spark, sf, "supplier")
-        .where(s % 5 != 0)
         .select(
-            joins.pad_left(s, 3).alias("counter_id"),
+            # every fifth assignment is for a counter that does not exist
+            joins.pad_left(s + F.when(s % 5 == 0, 10**9).otherwise(0), 3).alias("counter_id"),
             (s * 3).alias("base_id"),
             F.when(s % 4 != 0, s * 10).alias("count"),
             F.concat(F.lit("class"), (s % 3).cast("string")).alias("bicycle_infrastructure"),
@@ -159,8 +160,8 @@ def apply_changes(spark, sf):
         "counter_id", F.col("k").alias("base_id"), (F.col("k") * 2).alias("count"), F.lit("unverified").alias("verification_status")
     )
     s = F.col("s_suppkey")
-    changes = table(spark, sf, "supplier").where(s % 2 == 0).select(
-        joins.pad_left(s, 3).alias("counter_id"), (s + 7).alias("base_id"), F.when(s % 4 != 2, F.lit(5)).cast("bigint").alias("count")
+    changes = table(spark, sf, "supplier").select(
+        joins.pad_left(s + F.when(s % 2 == 1, 10**9).otherwise(0), 3).alias("counter_id"), (s + 7).alias("base_id"), F.when(s % 4 != 2, F.lit(5)).cast("bigint").alias("count")
     )
     out = joins.apply_changes(counters, changes, "2024-05-01 00:00:00")
     return out.select("counter_id", "base_id", "count", "verification_status")
@@ -168,6 +169,11 @@ def apply_changes(spark, sf):
 
 # --- regional joins --------------------------------------------------------------------------
 
+def _moved(communes, away):
+    """Communes of which some move to a land that does not exist, so that their keys match nothing."""
+    return communes.withColumn("ars", F.when(away, F.concat(F.lit("99"), F.substring("ars", 3, 10))).otherwise(F.col("ars")))
+
+
 TYPES = """SELECT ars, min(CAST(51 + k % 5 AS BIGINT)) AS regiostar5 FROM commune WHERE k % 3 <> 0 GROUP BY 1"""
 
 
@@ -177,7 +183,7 @@ TYPES = """SELECT ars, min(CAST(51 + k % 5 AS BIGINT)) AS regiostar5 FROM commun
 )
 def regiostar_join(spark, sf):
     c = t.commune(spark, sf)
-    types = c.where("k % 3 <> 0").select("ars", (F.lit(51) + F.col("k") % 5).alias("regiostar5"))
+    types = _moved(c, F.col("k") % 3 == 0).select("ars", (F.lit(51) + F.col("k") % 5).alias("regiostar5"))
     return joins.join_regiostar(c.select("k", "ars"), types).select("k", "regiostar5")
 
 
@@ -194,7 +200,7 @@ VG_STATS = "SELECT substr(ars, 1, 9) AS p, min(struct_pack(a := n_users, b := n_
 )
 def demographics_join(spark, sf):
     c = t.commune(spark, sf)
-    return joins.join_demographics(c.select("k", "ars"), c.where("k % 2 = 0")).select("k", "n_users", "n_trips", "total_km")
+    return joins.join_demographics(c.select("k", "ars"), _moved(c, F.col("k") % 2 == 1)).select("k", "n_users", "n_trips", "total_km")
 
 
 @query(
@@ -209,7 +215,7 @@ def demographics_join(spark, sf):
 )
 def stats_join(spark, sf):
     c = t.commune(spark, sf)
-    some = c.where("k % 2 = 0")
+    some = _moved(c, F.col("k") % 2 == 1)
     keyed = c.select("k", F.rpad(F.substring("ars", 1, 5), 12, "0").alias("admin_ars"))
     out = joins.join_statistics(keyed, adm.rollup_statistics(some, "Kreis"))
     out = joins.join_population(out, adm.rollup_population(some, "Kreis"))
@@ -278,7 +284,7 @@ def population_rollup(spark, sf):
 )
 def missing_codes(spark, sf):
     c = t.commune(spark, sf)
-    return adm.missing_codes(c, c.where("k % 3 = 1"))
+    return adm.missing_codes(c, _moved(c, F.col("k") % 3 != 1))
 
 
 @query("total_population", t.sql("SELECT k, CAST((SELECT sum(population) FROM commune) AS BIGINT) AS population FROM commune", "commune"))

@@ -55,15 +55,7 @@ def level_key(c: Column, digits: int) -> Column:
 def region_prefix(region_key: str) -> str:
     """Prefix that all members of a region share, derived from its trailing zeros."""
     key = str(region_key).zfill(KEY_LENGTH)
-    if set(key[2:]) == {"0"}:
-        return key[:2]
-    if set(key[5:]) == {"0"}:
-        return key[:5]
-    if set(key[8:]) == {"0"}:
-        if key[5:8] != "000":
-            return key[:8]
-        return key[:5] if key[2:5] != "000" else key[:2]
-    return key
+    return next(key[:n] for n in (2, 5, 8, len(key)) if not key[n:].strip("0"))
 
 
 def in_region(c: Column, region_key: str) -> Column:

@@ -20,7 +20,7 @@ MODELS: dict[str, tuple[type[Estimator], dict[str, Any]]] = {
     "Poisson Regression": (GeneralizedLinearRegression, {"family": "poisson", "link": "log", "maxIter": 1000, "regParam": 1.0}),
     "Lasso Regression": (LinearRegression, {"regParam": 1.0, "elasticNetParam": 1.0, "standardization": False}),
     "ElasticNet Regression": (LinearRegression, {"regParam": 1.0, "elasticNetParam": 0.5, "standardization": False}),
-    "Random Forest": (RandomForestRegressor, {"numTrees": 128, "minInstancesPerNode": 16, "maxDepth": 12, "seed": 42}),
+    "Random Forest": (RandomForestRegressor, {"numTrees": 128, "minInstancesPerNode": 16, "maxDepth": 30, "seed": 42}),
     "Gradient Boosting": (GBTRegressor, {"maxIter": 128, "minInstancesPerNode": 16, "maxDepth": 3, "stepSize": 0.1, "seed": 42}),
 }
 

@@ -185,7 +185,8 @@ def column_agreement(table: DataFrame, reference: DataFrame, key: str) -> DataFr
         F.struct(F.lit(c).alias("column"), F.count_if(_cell_equal(table, reference, c)).alias("n_equal"), F.count("*").alias("n_rows"))
         for c in shared
     ]
-    return joined.agg(F.array(*cells).alias("c")).select(F.inline("c"))
+    none = F.array().cast("array<struct<column:string,n_equal:bigint,n_rows:bigint>>")
+    return joined.agg(F.concat(none, F.array(*cells)).alias("c") if cells else F.any_value(none).alias("c")).select(F.inline("c"))
 
 
 def cell_mismatches(table: DataFrame, reference: DataFrame, key: str, n: int = 15) -> DataFrame:
@@ -203,7 +204,8 @@ def cell_mismatches(table: DataFrame, reference: DataFrame, key: str, n: int = 1
         )
         for c in shared
     ]
-    rows = joined.select(F.col(f"l.{key}").cast("string").alias("key"), F.inline(F.array_compact(F.array(*cells))))
+    none = F.array().cast("array<struct<column:string,table_value:string,reference_value:string>>")
+    rows = joined.select(F.col(f"l.{key}").cast("string").alias("key"), F.inline(F.array_compact(F.array(*cells)) if cells else none))
     return rows.orderBy("key", "column").limit(n)
 
 

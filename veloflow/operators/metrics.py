@@ -31,7 +31,9 @@ def _d(name: str) -> Column:
 
 
 def metric_columns(y: Column, p: Column, scale: float = SQV_SCALE) -> list[Column]:
-    """Aggregates of all metrics, zero on empty input. Usable in any ``agg``."""
+    """Aggregates of all metrics over the pairs that are complete, zero without any. Usable in any ``agg``."""
+    both = y.isNotNull() & p.isNotNull()
+    y, p = F.when(both, y), F.when(both, p)
     err = y - p
     sse = F.sum(err * err)
     # central second moment, stable for large values

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import cut_lineage
 
 # Display order of severities.
 SEVERITY_RANK = {
@@ -38,6 +40,28 @@ def sort_by_severity(
     return df.orderBy(severity_rank(F.col(severity), ranks), F.col(value).desc_nulls_last(), *tie)
 
 
+def number_by_severity(
+    df: DataFrame,
+    value: str = "dtv_volume_ratio",
+    severity: str = "flag_severity",
+    ranks: Mapping[str, int] | None = None,
+    tie: Sequence[str] = (),
+) -> DataFrame:
+    """All rows with ``position``, from 1, in the order of :func:`sort_by_severity`.
+
+    Rows are sorted by ranges. Each range is numbered by itself from what the ranges before it hold, so no task sees more
+    than its range. The sorted rows are checkpointed, because ranges drawn anew could differ.
+    """
+    placed = cut_lineage(sort_by_severity(df, value, severity, ranks, tie).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    order = [severity_rank(F.col(severity), ranks), F.col(value).desc_nulls_last(), *tie]
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = placed.withColumn("_own", own).join(starts, "_range")
+    return numbered.withColumn("position", (F.col("_start") + F.col("_own")).cast("bigint")).drop("_range", "_own", "_start")
+
+
 def sample_failures(df: DataFrame, order: Sequence[Column | str], n: int = 10) -> DataFrame:
     """First rows of a failure table in a stated order."""
     return df.orderBy(*order).limit(n)

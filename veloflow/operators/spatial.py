@@ -238,7 +238,7 @@ def edges_near_counters(
         if "is_outlier" in counters.columns:
             test = test | F.coalesce(F.col("is_outlier"), F.lit(False))
         if "flag_severity" in counters.columns:
-            test = test | (F.col("flag_severity") != "ok")
+            test = test | ~F.col("flag_severity").eqNullSafe("ok")
         if "verification_status" in counters.columns:
             test = test | F.coalesce(F.col("verification_status").isin("verified", "carryover"), F.lit(False))
         flagged = counters.where(test)
@@ -436,9 +436,15 @@ def points_in_units(
 
 
 def _join_first_unit(located: DataFrame, units: DataFrame, key: str, rings: str, columns: Sequence[str], boundary: bool, cell: float) -> DataFrame:
-    hits = points_in_units(_locations(located), units, key=key, rings=rings, boundary=boundary, cell=cell)
-    attrs = units.select(F.col(key).alias("unit"), *columns)
-    first = hits.groupBy("px", "py").agg(F.min("unit").alias("unit")).join(attrs, "unit", "left")
+    """One unit per location. A key may have several outlines (exclaves, land and water); each is tested by itself and the
+    attributes are those of the outline that holds the location. Of several the smallest key counts, then the smallest hash."""
+    own = units.select(key, rings, *[c for c in columns if c != key])
+    own = own.withColumn("_outline", F.xxhash64(*own.columns)).dropDuplicates(["_outline"])
+    hits = points_in_units(_locations(located), own, key="_outline", rings=rings, boundary=boundary, cell=cell)
+    attrs = own.select(F.col("_outline").alias("unit"), F.col(key).alias("_key"), *columns)
+    keyed = hits.join(attrs.select("unit", "_key"), "unit")
+    first = keyed.groupBy("px", "py").agg(F.min(F.struct("_key", "unit")).alias("_first")).select("px", "py", F.col("_first.unit").alias("unit"))
+    first = first.join(attrs, "unit").drop("unit").withColumnRenamed("_key", "unit")
     return located.join(first, ["px", "py"], "left").drop("px", "py")
 
 

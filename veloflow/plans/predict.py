@@ -20,7 +20,7 @@ def edge_features(edges: DataFrame, structure: Structure, infrastructure: DataFr
     """One feature row per edge. The joins keep the number of rows, their right sides are unique."""
     if infrastructure is not None:
         edges = join_infrastructure(edges, infrastructure, dedupe_right=True)
-    placed = add_structure_simple(edges, structure, lines=True)
+    placed = add_structure_simple(edges, structure, lines=True).drop("line")  # features need no geometry, the dedupe carries none
     return feature_pipeline(keep_first(placed, [edge_key], [F.col("ars")]))
 
 
@@ -31,7 +31,13 @@ def run_prediction(
     infrastructure: DataFrame | None = None,
     edge_key: str = "edge_id",
 ) -> DataFrame:
-    """``edge_id, base_id, predicted_dtv`` with volume, infrastructure class and line."""
+    """``edge_id, base_id, predicted_dtv`` with volume, infrastructure class and line.
+
+    Every row of ``edges`` comes back once: equal ids share a prediction, and an edge without an id or without a usable
+    feature row has none. A table without the key column gets one from the hash of its rows.
+    """
+    if edge_key not in edges.columns:
+        edges = edges.withColumn(edge_key, F.xxhash64(*edges.columns))
     table = edge_features(edges, structure, infrastructure, edge_key)
     # filling gaps reads the features once per column, the joins behind them should run once
     features = reuse(model_features(table, [f for f, _ in trained.prep.plan()], keep=[edge_key]))
@@ -39,7 +45,14 @@ def run_prediction(
     kept = [edge_key, "base_id", "line", F.col("count").alias("campaign_count")]
     if "bicycle_infrastructure" in edges.columns:
         kept.append("bicycle_infrastructure")
-    return edges.select(*kept).join(scored, edge_key)
+    scored = scored.where(F.col(edge_key).isNotNull()).dropDuplicates([edge_key])
+    return edges.select(*kept).join(scored, edge_key, "left")
+
+
+def prediction_counts(predicted: DataFrame) -> DataFrame:
+    """``n_edges``, ``n_predictions`` and ``n_failures`` (edges without a prediction)."""
+    done = F.col("predicted_dtv").isNotNull()
+    return predicted.agg(F.count("*").alias("n_edges"), F.count_if(done).alias("n_predictions"), F.count_if(~done).alias("n_failures"))
 
 
 def run_calibration(

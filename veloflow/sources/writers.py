@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.geo import line_to_wkt
 from ..functions.numeric import finite_columns
+from ..functions.order_stats import quantiles
 from ..ml.training import TrainedModel
 from ..ml.preprocessing import FeaturePrep, TargetTransform
 from ..operators.columns import STATION_CANDIDATES, keep_columns
@@ -198,7 +199,11 @@ def station_records(df: DataFrame, dtv: str = "dtv", id_column: str | None = Non
     return record.orderBy(*order, F.col("dtv").desc_nulls_last(), "counter_id")
 
 
-def write_calibration_data(df: DataFrame, path: str, year: int, region: str, dtv: str = "dtv", median_ratio: float = 1.0) -> str:
+def write_calibration_data(df: DataFrame, path: str, year: int, region: str, dtv: str = "dtv", median_ratio: float | None = None) -> str:
+    """Station records and metadata. The median ratio is that of the stations' own ratios, 1 without any."""
+    if median_ratio is None:
+        found = quantiles(df, "dtv_pred_ratio", {"median": 0.5})["median"] if "dtv_pred_ratio" in df.columns else None
+        median_ratio = 1.0 if found is None else float(found)
     limits = Fences(1, 0.33, 3.0, median_ratio)
     flagged = df if "flag_severity" in df.columns else df.withColumn("flag_severity", F.lit("ok"))
     meta = export_metadata(flagged, year, limits, {"region": region, "mode": "calibration"})
