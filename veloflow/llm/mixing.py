@@ -10,10 +10,11 @@ from veloflow.llm.quality import words_of
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
-#: Rows of a source that one task sorts; sources that one task numbers.
-PART_ROWS = 50_000
+#: Rows of a source that one task sorts, about.
+PART_ROWS = 10_000
 
-#: Sources are broadcast up to this number (about 100 bytes each), joined otherwise.
+#: Sources are numbered in one task and broadcast up to this number (about 100 bytes each); beyond it they are numbered in
+#: ranges and joined.
 FEW_SOURCES = 20_000
 
 
@@ -30,14 +31,14 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     round is one sum over the open sources, and closes at least one or is the last.
     """
     row = fresh(sources, "row_no")
-    parts = parts_for(sources.count(), PART_ROWS)
-    # parts in order: null sources in the last, others by how many sources are less in a bounded set of cuts
+    parts = parts_for(sources.count(), FEW_SOURCES)
+    order = F.col("source").asc_nulls_last()
     if parts == 1:
-        part = F.lit(0)
-    else:
-        cuts = [r[0] for r in sources.filter("source IS NOT NULL").select("source", F.xxhash64("source").alias("h")).orderBy("h").limit(parts).select("source").collect()]
+        numbered = sources.withColumn(row, F.row_number().over(Window.orderBy(order)) - 1)
+    else:  # cut into ranges at sources picked by hash, and number the ranges by prefix sums
+        cuts = [r[0] for r in sources.filter("source IS NOT NULL").orderBy(F.xxhash64("source")).limit(parts).select("source").collect()]
         part = F.when(F.col("source").isNull(), F.lit(len(cuts))).otherwise(sum((F.col("source") > F.lit(c)).cast("int") for c in cuts))
-    numbered = ranked(sources.withColumn("_all", F.lit(0)), ["_all"], [F.col("source").asc_nulls_last()], part, row).drop("_all")
+        numbered = ranked(sources, [], [order], part, row)
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col(row) % len(weights) + 1).cast("int"))
     weighed = written(numbered.withColumn("weight", weight.cast("long")).drop(row), "sources")
     total = weighed.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("s")).first()["s"]
