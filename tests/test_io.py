@@ -61,8 +61,12 @@ def test_regional_tables(spark, tmp_path):
 
 
 def test_generic_reader(spark, tmp_path):
-    path = write(tmp_path / "g.csv", "ags;v\n03000;1\n04;2;surplus\n")
-    assert [(r["ars"], r["v"]) for r in readers.read_dataset(spark, path).collect()] == [("030000000000", "1")]
+    path = write(tmp_path / "g.csv", "ags;v\n03000;1\n04;2;surplus\n05\n06;\n07;1;\n")
+    rows = [(r["ars"], r["v"]) for r in readers.read_dataset(spark, path).collect()]
+    assert rows == [("030000000000", "1"), ("050000000000", None), ("060000000000", None), ("070000000000", "1")]
+    assert readers.read_delimited(spark, path)[1].first()["n_surplus"] == 1
+    (tmp_path / "w.csv").write_bytes("ags;v\n03000;K\u00f6ln \u20ac\n".encode("cp1252"))
+    assert readers.read_dataset(spark, str(tmp_path / "w.csv")).first()["v"] == "K\u00f6ln \u20ac"
     assert readers.read_dataset(spark, str(tmp_path / "none.csv")) is None
     assert readers.read_osm_infrastructure(spark, str(tmp_path / "none.csv")) is None
 

@@ -66,7 +66,8 @@ def predict_volumes(trained: TrainedModel, df: DataFrame, output: str = "predict
 
 
 def prediction_counts(df: DataFrame, output: str = "predicted_dtv") -> DataFrame:
-    return df.agg(F.count(output).alias("n_predictions"), F.count_if(F.col(output).isNull()).alias("n_failures"))
+    """Edges, edges with a prediction and edges without one."""
+    return df.agg(F.count("*").alias("n_edges"), F.count(output).alias("n_predictions"), F.count_if(F.col(output).isNull()).alias("n_failures"))
 
 
 def predict_at_locations(

@@ -22,6 +22,7 @@ REGION_FEATURES = ("regiostar7", "regiostar5")
 UNKNOWN_CODE = -1.0
 
 LAMBDA_RANGE = (-5.0, 5.0)
+LAMBDA_LIMIT = 100.0  # powers beyond it overflow
 LAMBDA_STEPS = 20
 LAMBDA_TOLERANCE = 1e-3
 
@@ -67,6 +68,9 @@ def fit_power_lambda(df: DataFrame, column: str) -> float:
         if not scored:
             return 1.0  # constant column
         best = min(scored)[1]
+        if best in (grid[0], grid[-1]) and abs(best) < LAMBDA_LIMIT:  # the best lies at an end: look further
+            low, high = (low - 2 * (high - low), best + step) if best == grid[0] else (best - step, high + 2 * (high - low))
+            continue
         if step < LAMBDA_TOLERANCE:
             return best
         low, high = best - step, best + step

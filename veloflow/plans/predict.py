@@ -49,12 +49,6 @@ def run_prediction(
     return edges.select(*kept).join(scored, edge_key, "left")
 
 
-def prediction_counts(predicted: DataFrame) -> DataFrame:
-    """``n_edges``, ``n_predictions`` and ``n_failures`` (edges without a prediction)."""
-    done = F.col("predicted_dtv").isNotNull()
-    return predicted.agg(F.count("*").alias("n_edges"), F.count_if(done).alias("n_predictions"), F.count_if(~done).alias("n_failures"))
-
-
 def run_calibration(
     calibrator: Calibrator, stations: DataFrame, predicted_edges: DataFrame, max_distance_m: float = 100.0
 ) -> tuple[DataFrame, DataFrame]:

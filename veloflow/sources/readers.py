@@ -70,6 +70,7 @@ DEMOGRAPHIC_NAMES = {
 }
 COMMUNE_NAMES = {"ars": "ARS", "name": "GEN", "users_n": "N_USERS", "trips_n": "N_TRIPS", "distance_km": "TOTAL_KM"}
 UNIT_NAMES = {"ARS": "ars", "Type": "admin_level", "Name": "name"}
+# Names of the time column, month names.
 TIME_COLUMNS = ("Zeit", "Time", "timestamp", "date", "Date")
 GERMAN_MONTHS = {
     "Januar": "01",
@@ -85,6 +86,7 @@ GERMAN_MONTHS = {
     "November": "11",
     "Dezember": "12",
 }
+GERMAN_DATE = r"^\S+\s+(\d{1,2})\.?\s+(\p{L}+)\s+(\d{4})"
 
 
 def first_lines(spark: SparkSession, path: str, n: int, encoding: str = "UTF-8") -> list[str]:
@@ -147,33 +149,30 @@ def read_counter_locations(spark: SparkSession, path: str) -> DataFrame:
     return counter_locations(read_csv(spark, path))
 
 
-def measurement_timestamp(c: Column, sample: str) -> Column:
-    """Parser for one of three notations, chosen from a sample value."""
-    if sample[:1].isdigit():
-        iso = sample[:4].isdigit() and sample[4:5] == "-" and len(sample) >= 10
-        pattern = "yyyy-MM-dd HH:mm:ss" if iso else "dd-MM-yyyy HH:mm:ss"
-        return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
-    # weekday prefix of four characters, day with a full stop, month by name
-    text = F.replace(c.substr(F.lit(5), F.length(c)), F.lit("."), F.lit(""))
-    for name, number in GERMAN_MONTHS.items():
-        text = F.replace(text, F.lit(name), F.lit(number))
-    return F.try_to_timestamp(F.trim(text), F.lit("d MM yyyy")).cast("timestamp_ntz")
+def measurement_timestamp(c: Column) -> Column:
+    """Time of a measurement; whichever of the known notations a value has is read. NULL for anything else.
+
+    ISO and day-first numbers carry a clock time; the German notation is a weekday, a day with a full stop, a month by
+    name and a year.
+    """
+    month = F.element_at(F.create_map(*(F.lit(x) for pair in GERMAN_MONTHS.items() for x in pair)), F.regexp_extract(c, GERMAN_DATE, 2))
+    german = F.concat_ws(" ", F.regexp_extract(c, GERMAN_DATE, 1), month, F.regexp_extract(c, GERMAN_DATE, 3))
+    typed = (
+        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
+        F.try_to_timestamp(c, F.lit("dd-MM-yyyy HH:mm:ss")),
+        F.try_to_timestamp(F.when(month.isNotNull(), german), F.lit("d MM yyyy")),
+    )
+    return F.coalesce(*typed).cast("timestamp_ntz")
 
 
-def measurements_to_long(wide: DataFrame, time_column: str | None = None, sample: str | None = None) -> DataFrame:
+def measurements_to_long(wide: DataFrame, time_column: str | None = None) -> DataFrame:
     """One row per counter and time; cells that are not numbers are dropped."""
     time_column = time_column or next((c for c in TIME_COLUMNS if c in wide.columns), None)
     if time_column is None or time_column not in wide.columns:
         raise ValueError("Could not find timestamp column in counter measurements")
     counters = [c for c in wide.columns if c != time_column]
-    kind = wide.schema[time_column].dataType
-    if isinstance(kind, T.StringType):
-        if sample is None:
-            row = wide.select(time_column).where(F.col(time_column).isNotNull()).first()
-            sample = row[0] if row else ""
-        stamp = measurement_timestamp(F.col(time_column), sample)
-    else:
-        stamp = F.col(time_column).cast("timestamp_ntz")
+    is_text = isinstance(wide.schema[time_column].dataType, T.StringType)
+    stamp = measurement_timestamp(F.col(time_column)) if is_text else F.col(time_column).cast("timestamp_ntz")
     typed = wide.select(stamp.alias("timestamp"), *[F.col(f"`{c}`").cast("string").alias(c) for c in counters])
     long = typed.unpivot("timestamp", [f"`{c}`" for c in counters], "counter_id", "count")
     value = finite(F.trim("count").try_cast("double"))
@@ -188,7 +187,7 @@ def read_counter_measurements(spark: SparkSession, path: str, encoding: str = "U
     The file is scanned in splits with the header's columns as schema. Preamble and header rows
     have no readable time and drop out with the other unreadable rows.
     """
-    lines = first_lines(spark, path, 4, encoding)
+    lines = first_lines(spark, path, 3, encoding)
     if len(lines) < 3:
         raise ValueError("Could not find timestamp column in counter measurements")
     names = [c.strip().strip('"') for c in lines[2].split(",")]
@@ -196,9 +195,8 @@ def read_counter_measurements(spark: SparkSession, path: str, encoding: str = "U
     time_column = next((c for c in TIME_COLUMNS if c in names), None)
     if time_column is None:
         raise ValueError("Could not find timestamp column in counter measurements")
-    sample = lines[3].split(",")[names.index(time_column)].strip('"') if len(lines) > 3 else ""
     rows = spark.read.schema(schema).option("header", False).option("encoding", _file_encoding(encoding)).csv(path)
-    return measurements_to_long(rows, time_column, sample)
+    return measurements_to_long(rows, time_column)
 
 
 def traffic_volumes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -291,13 +289,14 @@ def campaign_metadata(df: DataFrame, year: int | None = None) -> DataFrame:
 
 
 def read_campaign_metadata(
-    spark: SparkSession, path: str, year: int, encoding: str = "windows-1252", sep: str | None = None
+    spark: SparkSession, path: str, year: int, encoding: str | None = None, sep: str | None = None
 ) -> DataFrame:
-    return campaign_metadata(read_csv(spark, path, sep, encoding), year)
+    """Campaign table; encoding and separator are the file's own unless stated."""
+    return campaign_metadata(read_csv(spark, path, sep, encoding or text_encoding(spark, path)), year)
 
 
-def read_demographics_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    df = read_csv(spark, path, encoding=encoding)
+def read_demographics_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    df = read_csv(spark, path, encoding=encoding or text_encoding(spark, path))
     return df.withColumn("ARS", pad_left(F.col("ARS"))) if "ARS" in df.columns else df
 
 
@@ -373,8 +372,33 @@ def read_verified_calibration(spark: SparkSession, root: str, region: str, year:
 KEY_COLUMNS = ("ars", "ARS", "ags")
 
 
-def read_any(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Table by suffix: Parquet, ORC, JSON or CSV. CSV rows with too many cells are dropped."""
+def text_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8 if every line of a text file is, else Windows-1252."""
+    broken = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)
+    return "UTF-8" if broken.isEmpty() else WINDOWS_1252[0]
+
+
+def read_delimited(spark: SparkSession, path: str, encoding: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A CSV as text columns, and one row with ``n_surplus``, the rows left out.
+
+    Rows with fewer cells than the header have NULL for what is missing. Rows with more cells are left out and counted;
+    an empty cell beyond the last column is no surplus.
+    Without a stated encoding the file's own is found.
+    """
+    encoding = encoding or text_encoding(spark, path)
+    sep = sniff_separator(spark, path, encoding)
+    names = [c.strip().strip('"') for c in first_lines(spark, path, 1, encoding)[0].split(sep)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_surplus"]])
+    reader = spark.read.schema(schema).option("header", True).option("encoding", _file_encoding(encoding)).option("sep", sep)
+    rows = reader.csv(path)
+    kept = rows.where("_surplus is null").drop("_surplus")
+    if encoding.lower() in WINDOWS_1252:
+        kept = kept.withColumns({c: F.translate(F.col(f"`{c}`"), *_windows_letters()) for c in names})
+    return kept, rows.agg(F.count("_surplus").alias("n_surplus"))
+
+
+def read_any(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """Table by suffix: Parquet, ORC, JSON or CSV; see :func:`read_delimited` for rows of uneven length."""
     name = path.rstrip("/").lower()
     if name.endswith(".json"):
         return spark.read.option("multiLine", True).json(path)
@@ -383,16 +407,11 @@ def read_any(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     if name.endswith(".orc"):
         return spark.read.orc(path)
     if name.endswith((".csv", ".txt")):
-        sep = sniff_separator(spark, path, encoding)
-        header = first_lines(spark, path, 1, encoding)[0]
-        fields = [T.StructField(c.strip().strip('"'), T.StringType()) for c in header.split(sep)]
-        schema = T.StructType([*fields, T.StructField("_bad", T.StringType())])
-        reader = spark.read.schema(schema).option("header", True).option("encoding", _file_encoding(encoding)).option("sep", sep)
-        return reader.option("columnNameOfCorruptRecord", "_bad").csv(path).where("_bad is null").drop("_bad")
+        return read_delimited(spark, path, encoding)[0]
     return spark.read.parquet(path)
 
 
-def read_dataset(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame | None:
+def read_dataset(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame | None:
     """Generic input with normalised region keys; None when it does not exist."""
     try:
         df = read_any(spark, path, encoding)
