@@ -53,13 +53,15 @@ def dtv_valid(spark, sf):
     "dtv_from_lineitem",
     """WITH m AS (SELECT l_suppkey, date_trunc('day', l_shipdate) AS day, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2)
        SELECT CAST(l_suppkey AS VARCHAR) AS counter_id, round_even(avg(n), 0) AS dtv, CAST(count(*) AS BIGINT) AS observation_count,
-              CAST(365 - count(*) AS BIGINT) AS missing_days
+              CAST(365 - count(*) AS BIGINT) AS missing_days, CAST(count(*) FILTER (WHERE n = 0) AS BIGINT) AS zero_days,
+              round(count(*) / 365::DOUBLE * (1 - count(*) FILTER (WHERE n = 0) / count(*)::DOUBLE * 0.5::DOUBLE), 6) AS quality_score
        FROM m WHERE day BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31' GROUP BY 1""",
 )
 def dtv_from_lineitem(spark, sf):
     day = F.date_trunc("day", "l_shipdate").cast("timestamp_ntz")
     m = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("counter_id"), day.alias("timestamp")).agg(F.sum("l_quantity").alias("count"))
-    return targets.daily_traffic(m, "1997-01-01", "1997-12-31").select("counter_id", "dtv", "observation_count", "missing_days")
+    out = targets.daily_traffic(m, "1997-01-01", "1997-12-31")
+    return rounded(out.select("counter_id", "dtv", "observation_count", "missing_days", "zero_days", "quality_score"))
 
 
 @query(

@@ -153,14 +153,37 @@ def density(spark, sf):
     return met.density(t.scored(spark, sf), "y_pred", "y_true", 20)
 
 
-@query("content_hash")
+@query(
+    "content_hash",
+    """SELECT CAST(count(*) AS BIGINT) AS n_rows, count(*) > 0 AS same_when_shuffled, count(*) FILTER (WHERE o_orderkey % 1000 = 7) = 0 AS same_when_edited,
+              FALSE AS same_when_doubled FROM orders""",
+)
 def content_hash(spark, sf):
-    return met.content_hash(table(spark, sf, "orders"))
+    orders = table(spark, sf, "orders")
+    own = met.content_hash(orders)
+    others = {
+        "same_when_shuffled": orders.repartition(5, "o_totalprice"),
+        "same_when_edited": orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))),
+        "same_when_doubled": orders.unionAll(orders),
+    }
+    out = own
+    for name, frame in others.items():
+        other = met.content_hash(frame).select(F.struct("n_rows", "hash_xor", "hash_sum").alias(name))
+        out = out.join(other)  # one row each
+    mine = F.struct("n_rows", "hash_xor", "hash_sum")
+    return out.select("n_rows", *[(mine == F.col(name)).alias(name) for name in others])
 
 
-@query("seeded_sample")
+@query(
+    "seeded_sample",
+    t.sql("SELECT CAST(least(count(*), 10000) AS BIGINT) AS n, CAST(least(count(*), 10000) AS BIGINT) AS n_of_the_table, CAST(least(count(*), 10000) AS BIGINT) AS n_again FROM scored", "scored"),
+)
 def sample(spark, sf):
-    return seeded_sample(t.scored(spark, sf).select("id", "y_true", "y_pred"), 10_000, 42, ["id"])
+    rows = t.scored(spark, sf).select("id", "y_true", "y_pred")
+    first = seeded_sample(rows, 10_000, 42, ["id"]).withColumn("_first", F.lit(True))
+    again = seeded_sample(rows.repartition(3, "y_pred"), 10_000, 42, ["id"]).select("id").withColumn("_again", F.lit(True))
+    known = rows.join(first.select("id", "_first"), "id", "left").join(again, "id", "left").where("_first or _again")
+    return known.agg(F.count("_first").alias("n"), F.count_if("_first").alias("n_of_the_table"), F.count_if(F.col("_first") & F.col("_again")).alias("n_again"))
 
 
 # --- calibration -----------------------------------------------------------------------------
@@ -305,10 +328,11 @@ def calib_apply(spark, sf):
     return rounded(cal.apply_to_edges(fitted, edges), 6, "predicted_dtv")
 
 
-@query("calib_params", t.sql(f"SELECT 'global_multiplicative' AS calibrator_type, CAST(count(*) AS BIGINT) AS n_stations FROM station", "station"))
+@query("calib_params", t.sql(f"SELECT 'global_multiplicative' AS calibrator_type, round({FACTOR}, 6) AS factor, CAST(count(*) AS BIGINT) AS n_stations FROM station", "station"))
 def calib_params(spark, sf):
     fitted = cal.GlobalMultiplicative().fit(t.station(spark, sf))
-    return cal.params_table(fitted, spark).select("calibrator_type", "n_stations")
+    factor = F.round(F.get_json_object("params", "$.factor").cast("double"), 6)
+    return cal.params_table(fitted, spark).select("calibrator_type", factor.alias("factor"), "n_stations")
 
 
 # --- preprocessing ---------------------------------------------------------------------------
@@ -387,12 +411,22 @@ def target_transform(spark, sf):
     return df.select("o_orderkey", F.round(label, 8).alias("label"), F.round(tt.inverse(label * 1.07), 3).alias("restored"))
 
 
-@query("train_test_split", "SELECT CAST(count(*) AS BIGINT) AS n_all, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_distinct, TRUE AS near_fifth FROM orders")
+@query(
+    "train_test_split",
+    """SELECT CAST(count(*) AS BIGINT) AS n_all, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_distinct, count(*) > 100 AS near_fifth,
+              CAST(0 AS BIGINT) AS n_moved FROM orders""",
+)
 def train_test_split(spark, sf):
     train, test = prep.train_test_split(table(spark, sf, "orders"), 0.2, 42, ["o_orderkey"])
     both = train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    # a row stays on its side however the table is partitioned
+    _, again = prep.train_test_split(table(spark, sf, "orders").repartition(5, "o_totalprice"), 0.2, 42, ["o_orderkey"])
+    both = both.join(again.select("o_orderkey", F.lit(1).alias("again")), "o_orderkey", "left")
     return both.agg(
-        F.count("*").alias("n_all"), F.countDistinct("o_orderkey").alias("n_distinct"), F.avg("part").between(0.15, 0.25).alias("near_fifth")
+        F.count("*").alias("n_all"),
+        F.countDistinct("o_orderkey").alias("n_distinct"),
+        F.avg("part").between(0.15, 0.25).alias("near_fifth"),
+        F.count_if(F.col("part") != F.coalesce("again", F.lit(0))).alias("n_moved"),
     )
 
 
@@ -477,7 +511,10 @@ def predict_edges(spark, sf):
     return rounded(predict_volumes(trained, gappy).select("id", "infra_category", "predicted_dtv"), 4)
 
 
-@query("predict_counts")
+@query(
+    "predict_counts",
+    t.sql("""SELECT CAST(count(*) AS BIGINT) AS n_edges, CAST(count(*) AS BIGINT) AS n_predictions, CAST(0 AS BIGINT) AS n_failures FROM training WHERE "DZS_mean_SR" IS NOT NULL AND "Erh_SR" > 0""", "training"),
+)
 def predict_counts(spark, sf):
     df = _learning_table(spark, sf)
     trained = ml.fit_model(df, "Linear Regression", FEATURES)
