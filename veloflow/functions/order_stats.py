@@ -13,6 +13,7 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .numeric import finite
@@ -38,10 +39,20 @@ def order_statistics(
 ) -> dict[str, float | int | None]:
     """Exact values at ranks (from 0, a function of the row count) of one column.
 
-    Runs two to four counting jobs, as a fit does. A rank outside the rows gives ``None``.
+    Runs two to four counting jobs, as a fit does. A rank outside the rows gives ``None``. The column is kept for these
+    jobs and released, so what it is computed from runs once. The driver sees counts by bin only: at most some 270 000 at
+    the first level and 131 072 in each wanted bin further on.
     """
     c = F.col(value) if isinstance(value, str) else value
-    data = df.select(finite(c).alias("_v")).where(F.col("_v").isNotNull())
+    data = df.select(finite(c).alias("_v")).where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _narrowed(data, ranks)
+    finally:
+        data.unpersist()
+
+
+def _narrowed(data: DataFrame, ranks: Mapping[str, Callable[[int], int]]) -> dict[str, float | int | None]:
+    """Each wanted rank is followed through ever finer bins of ``_v``."""
     v = F.col("_v")
     levels = _levels(v)
 
