@@ -404,6 +404,7 @@ def test_components_of_long_chains(spark):
     [
         ("", ""), ("plain  text", "plain text"), ("<p>a<p>b", "a\n\nb"), ("<article><h1>T</h1><p>x &amp; y<br>z</p></article><footer>f</footer>", "T\n\nx & y z"),
         ("<nav>n</nav><div class='post'><p>A long paragraph that goes on for a while, really.</p><p>Short.</p><div class='ad'>Buy</div></div><div id='comments'><p>First! A comment as long as any text.</p></div>", "A long paragraph that goes on for a while, really.\n\nShort."),
+        ("<div class='page with-sidebar'><div class='text'><p>Some text of a page that has a sidebar.</p></div><div class='sidebar'>side</div></div>", "Some text of a page that has a sidebar."),
         ("<article><header><h1>Head</h1><p>By me</p></header><p>Body</p><section class='comments'><p>hi</p></section></article>", "Head\n\nBody"),
         ("<head><title>t</title><script>var a='</p>'</script></head><p>Text &#233; &lt;", "Text é <"), ("<article><p>unclosed <b>bold", "unclosed bold"),
     ],

@@ -28,9 +28,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset("article main section div td body".split())
 #: Names in class and id that mark what is no content, as whole parts of the name.
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright dialog disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe tags teaser toolbar topbar widget".split()
+    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright dialog disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe teaser toolbar topbar widget".split()
 )
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+#: Next to these a name says what the element is with or without ("with-sidebar"), not what it is.
+BESIDE = frozenset("has no not with without".split())
 #: On these a name is about the page as a whole, unless it says comment or advert.
 WHOLE = frozenset("html body main article".split())
 ON_WHOLE = frozenset("ad ads advert advertisement comment comments reply sponsored promo related teaser".split())
@@ -90,7 +92,7 @@ class Lines(HTMLParser):
         if "hidden" in given or given.get("aria-hidden") == "true" or (given.get("role") or "").lower() in ROLES or re.search(r"display\s*:\s*none", given.get("style") or ""):
             return True
         parts = set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{given.get('class') or ''} {given.get('id') or ''}").lower()))
-        return bool(parts & (ON_WHOLE if tag in WHOLE else NAMES)) and tag not in HEADINGS
+        return bool(parts & (ON_WHOLE if tag in WHOLE else NAMES)) and not parts & BESIDE and tag not in HEADINGS
 
     def close_to(self, tag: str) -> None:
         """Close the innermost open ``tag`` and all that is open within it; nothing if there is none."""
