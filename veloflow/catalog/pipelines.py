@@ -99,7 +99,16 @@ def etl_pipeline(spark, sf):
     return rounded(rounded(training, 6, "TN_SR_relativ", "Streckengewicht_SR"), 4, "HubDist")
 
 
-@query("etl_counts")
+@query(
+    "etl_counts",
+    t.sql(
+        f"""SELECT CAST((SELECT count(*) FROM ({DTV_SQL}) WHERE q >= 0.5 AND observation_count >= 7) AS BIGINT) AS n_targets, CAST(count(*) AS BIGINT) AS n_counters,
+                   CAST(count(c.k * 3) AS BIGINT) AS n_matched, CAST(count(*) AS BIGINT) AS n_training
+            FROM counter c JOIN (SELECT * FROM ({DTV_SQL}) WHERE q >= 0.5 AND observation_count >= 7) m ON CAST(c.k AS VARCHAR) = m.counter_id""",
+        "daily",
+        "counter",
+    ),
+)
 def etl_counts(spark, sf):
     return run_etl(inputs(spark, sf, verified=True)).counts
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path that nothing else uses, in the folder of ``spark.checkpoint.dir``; where that is unset, a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="veloflow-")
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a frame that several branches of one plan read; lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
