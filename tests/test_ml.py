@@ -103,3 +103,18 @@ def test_imputation(spark, table):
     gappy = table.withColumn("participation_rate", F.when(F.col("id") != "3", F.col("participation_rate")))
     scored = predict_volumes(trained, gappy)
     assert scored.where("predicted_dtv is null").isEmpty() and scored.where("participation_rate is null").count() == 1
+
+
+def test_search_fits_scalers_without_the_held_out_fold(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from veloflow.ml import training
+    from veloflow.ml.preprocessing import FeaturePrep
+
+    df = spark.range(90).select(F.col("id").cast("string").alias("id"), (F.col("id") * 7 % 50).cast("double").alias("dist_to_center_m"), (F.col("id") % 9 + 1.0).alias("dtv"))
+    seen = []
+    fit = FeaturePrep.fit
+    monkeypatch.setattr(FeaturePrep, "fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    trained = training.fit_model(df, "Poisson", ["dist_to_center_m"], tune=True, grid={"regParam": [0.1, 1.0]}, folds=3)
+    assert seen[0] == 90 and len(seen) == 4 and sum(90 - n for n in seen[1:]) == 90 and all(n < 90 for n in seen[1:])
+    assert trained.best_params["regParam"] in (0.1, 1.0)

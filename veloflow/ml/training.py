@@ -5,13 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml.base import Model
+from pyspark import inheritable_thread_target
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import finite
@@ -93,20 +94,10 @@ def fit_model(
     best: dict[str, Any] = {}
     maps = get_grid(name, estimator, dict(grid) if grid is not None else None) if tune else None
     if maps:
-        folded = reuse(ready.withColumn("_fold", hash_bucket(kept, seed, folds).cast("int")))
-        search = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=maps,
-            evaluator=MetricEvaluator(tt),
-            numFolds=folds,
-            foldCol="_fold",
-            parallelism=parallelism,
-        )
-        fitted = search.fit(folded)
-        model = fitted.bestModel
-        winner = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
+        scores = _search(df, list(features), target, transform, estimator, maps, folds, seed, kept, parallelism)
+        winner = max(range(len(maps)), key=lambda i: scores[i])
         best = {p.name: v for p, v in maps[winner].items()}
-        folded.unpersist()
+        model = estimator.fit(ready, maps[winner])
     else:
         model = estimator.fit(ready)
     if cache:
@@ -114,6 +105,40 @@ def fit_model(
     return TrainedModel(name, model, prep, tt, list(features), best, time.perf_counter() - started)
 
 
+def _search(
+    df: DataFrame,
+    features: list[str],
+    target: str,
+    transform: str,
+    estimator: Estimator,
+    maps: list[dict],
+    folds: int,
+    seed: int,
+    key: Sequence[str],
+    parallelism: int,
+) -> list[float]:
+    """Mean held-out score of each parameter map. Scalers and target transform see the other folds only."""
+    spark = df.sparkSession
+    folded = reuse(df.withColumn("_fold", hash_bucket(key, seed, folds).cast("int")))
+    total = [0.0] * len(maps)
+    for k in range(folds):
+        rest, held = folded.where(F.col("_fold") != k), folded.where(F.col("_fold") == k)
+        prep, tt = FeaturePrep(features).fit(rest), TargetTransform.fitted(rest, target, transform)
+        fit_on, score_on = (reuse(prep.transform(part).withColumn(LABEL, tt.forward(F.col(target))).select("features", LABEL)) for part in (rest, held))
+        evaluator = MetricEvaluator(tt)
+
+        def score(params: dict) -> float:
+            return evaluator.evaluate(estimator.fit(fit_on, params).transform(score_on))
+
+        with ThreadPool(parallelism) as pool:
+            found = pool.map(inheritable_thread_target(spark)(score), maps)
+        total = [t + s for t, s in zip(total, found, strict=True)]
+        fit_on.unpersist()
+        score_on.unpersist()
+    folded.unpersist()
+    return [t / folds for t in total]
+
+
 def out_of_fold(
     df: DataFrame,
     name: str,
