@@ -21,7 +21,7 @@ from veloflow.llm.quality import RULES, Rule, cascade, keep_good, quality_report
 from veloflow.llm.tokens import Encoder, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, component_id string, mark string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, root_mark string, mark string"
 PROSE = " ".join(f"word{i} and{i % 7} thing{i * 31 % 97}" for i in range(60))
 
 

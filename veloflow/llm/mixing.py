@@ -100,13 +100,13 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     Texts stay whole: of the document at a source's cut all is taken when at least half of it lies before the cut. Documents
     without words are in no mix. What equal rows take together is dealt evenly among them.
     """
-    text_hash, times, turn = F.xxhash64("text"), fresh(docs, "times"), fresh(docs, "turn")
+    text_hash = F.xxhash64("text")
+    hashed, same_id, same_hash, times, rows, turn = (fresh(docs, name) for name in ("text_hash", "mixed_id", "mixed_hash", "mixed_times", "mixed_rows", "mixed_turn"))
     shares = _shares(docs, [F.col("doc_id"), text_hash], weights, most).filter("size > 0")
-    copies = shares.groupBy(F.col("key0").alias("_id"), F.col("key1").alias("_hash")).agg(
-        F.sum(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int").alias("_times"), F.count(F.lit(1)).cast("int").alias("_rows")
+    copies = shares.groupBy(F.col("key0").alias(same_id), F.col("key1").alias(same_hash)).agg(
+        F.sum(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int").alias(times), F.count(F.lit(1)).cast("int").alias(rows)
     )
-    hashed = fresh(docs, "hash")
-    joined = docs.withColumn(hashed, text_hash).join(copies.filter("_times > 0"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(hashed) == F.col("_hash")))
-    numbered = joined.withColumn(turn, F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(1))))
-    own = F.floor(F.col("_times") / F.col("_rows")).cast("int") + (F.col(turn) <= F.col("_times") % F.col("_rows")).cast("int")
-    return numbered.withColumn(times, F.explode(F.array_repeat(F.lit(1), own))).select(*docs.columns)
+    joined = docs.withColumn(hashed, text_hash).join(copies.filter(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(same_id)) & (F.col(hashed) == F.col(same_hash)))
+    numbered = joined.withColumn(turn, F.row_number().over(Window.partitionBy(same_id, same_hash).orderBy(F.lit(1))))
+    own = F.floor(F.col(times) / F.col(rows)).cast("int") + (F.col(turn) <= F.col(times) % F.col(rows)).cast("int")
+    return numbered.withColumn(turn, F.explode(F.array_repeat(F.lit(1), own))).select(*docs.columns)

@@ -160,12 +160,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     A component without a key (all null) keeps a row with the smallest fingerprint. Of repeated keys within a component one row stays.
     """
-    mark, row = fresh(docs, "mark"), fresh(docs, "row_no")
+    mark, row, root, least = (fresh(docs, name) for name in ("mark", "row_no", "root_mark", "least_key"))
     marked = fingerprints(docs, mark, docs.columns, text)
-    classes = written(marked.groupBy(mark).agg(F.min(key).alias("_least")), "marks")
-    joined = components(links(classes, mark), "a", "b")
-    roots = classes.join(joined, F.col(mark) == F.col("node"), "left").select(F.col(mark).alias("_m"), "_least", F.coalesce("root", mark).alias("_root"))
-    first = roots.groupBy("_root").agg(F.min(F.struct(F.col("_least").isNull(), "_least", "_m")).alias("x")).select("x._m", "x._least")
-    kept = marked.join(first, (F.col(mark) == F.col("_m")) & F.col(key).eqNullSafe(F.col("_least"))).drop("_m", "_least")
+    classes = written(marked.groupBy(mark).agg(F.min(key).alias("least")), "marks").withColumnRenamed(mark, "m")
+    joined = components(links(classes, "m"), "a", "b")
+    roots = classes.join(joined, F.col("m") == F.col("node"), "left").select("m", "least", F.coalesce("root", "m").alias("root"))
+    first = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "m")).alias("x")).select(F.col("x.m").alias(root), F.col("x.least").alias(least))
+    kept = marked.join(first, (F.col(mark) == F.col(root)) & F.col(key).eqNullSafe(F.col(least))).drop(root, least)
     each = Window.partitionBy(mark, key).orderBy(F.lit(1))
     return kept.withColumn(row, F.row_number().over(each)).filter(F.col(row) == 1).drop(mark, row)
