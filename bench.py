@@ -29,6 +29,7 @@ HEADLINE = (
     "reference_compare",
     "etl_pipeline",
     "predict_pipeline",
+    "etl_review",
 )
 
 
