@@ -52,7 +52,7 @@ def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROU
         chosen = ordered[starts[frequent]]
         # a table by hash tells which pairs are chosen; of two that share a place the more frequent one is kept
         bits = 20
-        place = lambda k: ((k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        place = lambda k: ((k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
         table = np.full(1 << bits, -1, np.int32)
         at = place(chosen)[::-1]
         table[at] = np.arange(len(chosen), dtype=np.int32)[::-1]
@@ -104,10 +104,13 @@ class Block:
     def __init__(self, symbols: bytes, rules: bytes, lengths: bytes, first_rule: int, width: int) -> None:
         kind = f"<u{width}"
         self.symbols = np.frombuffer(symbols, kind).astype(np.int64)
-        self.rules = np.frombuffer(rules, kind).astype(np.int64).reshape(-1, 2)
-        self.first_rule = first_rule
-        sizes = np.concatenate([np.ones(1, np.int64), np.frombuffer(lengths, "<u4").astype(np.int64)])
-        self.ends = np.cumsum(sizes[np.maximum(self.symbols - first_rule + 1, 0)])
+        pairs = np.frombuffer(rules, kind).astype(np.int64).reshape(-1, 2)
+        sizes = np.frombuffer(lengths, "<u4").astype(np.int64)
+        # what each symbol stands for: ids for themselves, then the expansions of all rules in a row
+        self.flat = np.concatenate([np.arange(first_rule), expand(np.arange(first_rule, first_rule + len(pairs)), pairs, first_rule)]).astype(np.uint32)
+        self.size = np.concatenate([np.ones(first_rule, np.int64), sizes])
+        self.begin = np.concatenate([np.arange(first_rule), first_rule + np.cumsum(sizes) - sizes])
+        self.ends = np.cumsum(self.size[self.symbols])
 
     def read(self, start: int, stop: int) -> np.ndarray:
         """Ids from ``start`` to ``stop`` of the block; only the symbols that cover them are expanded."""
@@ -115,9 +118,10 @@ class Block:
             return np.zeros(0, np.int64)
         a, b = np.searchsorted(self.ends, [start, stop - 1], side="right")
         before = int(self.ends[a - 1]) if a else 0
-        if not len(self.rules):
-            return self.symbols[start:stop]
-        return expand(self.symbols[a : b + 1], self.rules, self.first_rule)[start - before : stop - before]
+        symbols, ends = self.symbols[a : b + 1], self.ends[a : b + 1] - before
+        sizes = self.size[symbols]
+        ids = self.flat[np.repeat(self.begin[symbols] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        return ids[start - before : stop - before]
 
 
 _FORMAT = "shard long, block int, n_docs int, n_ids long, key_bytes binary, counts binary, first_rule int, width int, rules binary, lengths binary, symbols binary"

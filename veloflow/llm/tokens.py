@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Pieces kept in a worker's memory (about 150 bytes each) before it starts anew; it never changes a result.
-MEMORY = 600_000
+#: Pieces kept in a worker's memory (about 200 bytes each) before it starts anew; it never changes a result.
+MEMORY = 400_000
 
 #: A chunk that is one run of letters in the middle and runs of signs around it. The file's rule splits such a chunk at these
 #: places; an apostrophe may begin a contraction and is left out. The letters have no other composed or lower-case form.
+TAIL = b".,;:!?*$%&#|"
 SIMPLE = re.compile("([!-&(-/:-;=?-@[-`{}~]*)([a-zß-öø-ÿ]+)([!-&(-/:-;=?-@[-`{}~]*)")
 
 
@@ -46,82 +47,69 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.plain = '"Lowercase"' in self.tokenizer.to_str()[:4000]
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.ids: list[list[int]] = []
-        self.runs: dict[str, list[int]] = {}
-        self.table = (np.zeros(0, np.uint32), np.zeros(1, np.int64))
-        self.known = 0
+        self.flat = array("I")  # ids of all numbers in a row
+        self.ends = array("q", [0])  # where those of each number end; the first entry is where number 0 begins
 
     def __missing__(self, chunk: bytes) -> int:
-        number = self[chunk] = len(self.ids)
-        self.ids.append(self._chunk(chunk.decode("utf-8", "replace")))
+        core = chunk.rstrip(TAIL)
+        if core.isalpha():  # ASCII letters
+            ids = self._letters(core.decode()) if core is chunk or core == chunk else self._known(core) + self._known(chunk[len(core) :])
+        else:
+            ids = self._chunk(chunk.decode("utf-8", "replace"))
+        return self._remember(chunk, ids)
+
+    def _remember(self, key: bytes, ids: list[int]) -> int:
+        number = self[key] = len(self.ends) - 1
+        self.flat.extend(ids)
+        self.ends.append(len(self.flat))
         return number
 
+    def _known(self, chunk: bytes) -> list[int]:
+        number = self[chunk]
+        return self.flat[self.ends[number] : self.ends[number + 1]].tolist()
+
+    def _letters(self, run: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(run)]
+
     def _chunk(self, chunk: str) -> list[int]:
         if m := SIMPLE.fullmatch(chunk):
-            return [i for run in m.groups() if run for i in self._run(run)]
+            return [i for run in m.groups() if run for i in self._letters(run if run.isascii() else run.encode().decode("latin-1").translate(_byte_letters()))]
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
-    def _run(self, run: str) -> list[int]:
-        ids = self.runs.get(run)
-        if ids is None:
-            letters = run if run.isascii() else run.encode().decode("latin-1").translate(_byte_letters())
-            ids = self.runs[run] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return ids
-
-    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all remembered chunks in a row, and where each chunk's begin. New chunks are appended; space grows by half."""
-        flat, starts = self.table
-        known, now = self.known, len(self.ids)
-        if known < now:
-            new = self.ids[known:]
-            sizes = np.fromiter(map(len, new), np.int64, len(new))
-            used = int(starts[known])
-            need = used + int(sizes.sum())
-            if need > len(flat):
-                flat = np.concatenate([flat[:used], np.zeros(need * 3 // 2 - used, np.uint32)])
-            if now + 1 > len(starts):
-                starts = np.concatenate([starts[: known + 1], np.zeros(now * 3 // 2 - known, np.int64)])
-            flat[used:need] = np.fromiter(chain.from_iterable(new), np.uint32, need - used)
-            starts[known + 1 : now + 1] = used + np.cumsum(sizes)
-            self.table, self.known = (flat, starts), now
-        return flat, starts
+    def _literal(self, token: int) -> int:
+        """The number of an id by itself, remembered under a key that no chunk has."""
+        key = b" %d" % token
+        return dict.get(self, key, -1) if key in self else self._remember(key, [token])
 
     def encode(self, texts: list[bytes], end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole UTF-8 texts in a row, the end id after each, and the number of each text's ids, the end id included."""
-        if len(self.ids) > MEMORY:
+        if len(self) > MEMORY:
             self.forget()
-        last = [] if end is None else [self._literal(end)]
-        numbers: list[int] = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
+        last = np.array([] if end is None else [self._literal(end)], np.int64)
+        parts: list[np.ndarray] = []
+        for text in texts:
             if any(s in text for s in self.special) or not self.plain:
-                found = [self._literal(i) for i in self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids]
+                found = map(self._literal, self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+                parts += [np.fromiter(found, np.int64), last]
             else:
-                found = list(map(self.__getitem__, text.lower().split()))
-            numbers += found
-            numbers += last
-            counts[k] = len(found) + len(last)
-        flat, starts = self._tables()
-        chunk = np.array(numbers, np.int64)
-        sizes = starts[chunk + 1] - starts[chunk]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = flat[np.repeat(starts[chunk] - ends[:-1], sizes) + np.arange(ends[-1])]
-        upto = ends[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(upto)
-
-    def _literal(self, token: int) -> int:
-        """The number of an id by itself, remembered under a key that no chunk has."""
-        key = b" %d" % token
-        if key not in self:
-            self[key] = len(self.ids)
-            self.ids.append([token])
-        return self[key]
+                chunks = text.lower().split()
+                parts += [np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks)), last]
+        counts = np.fromiter(map(len, parts), np.int64, len(parts)).reshape(-1, 2).sum(1)
+        numbers = np.concatenate(parts) if parts else last[:0]
+        # these views end with the call: an array that is viewed cannot grow
+        flat, ends = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.ends, np.int64)
+        begins = ends[numbers]
+        sizes = ends[numbers + 1] - begins
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(begins - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
 
 
 def slices(texts: Iterable[bytes | None], most: int = 1 << 22) -> Iterator[list[bytes]]:
