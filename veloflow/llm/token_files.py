@@ -33,13 +33,17 @@ def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROU
     frequent ones at once, from left to right, so that pairs that overlap are not both replaced. It ends when no pair comes
     ``least`` times, when the rules are used up, or after ``rounds``.
     """
-    symbols = ids.astype(np.int64)
+    # a pair is one number: of 32 bits where symbols have 16, which halves what is sorted
+    half, kind, spread, bits = (16, np.uint32, 0x9E3779B1, 18) if first_rule + most_rules <= 1 << 16 else (32, np.uint64, 0x9E3779B97F4A7C15, 18)
+    down, part = kind(8 * np.dtype(kind).itemsize - bits), kind((1 << half) - 1)
+    symbols = ids.astype(kind)
     rules: list[np.ndarray] = []
     made = 0
     for _ in range(rounds):
         if len(symbols) < 2 or made >= most_rules:
             break
-        keys = (symbols[:-1] << 32) | symbols[1:]
+        keys = symbols[:-1] << kind(half)
+        keys |= symbols[1:]
         ordered = np.sort(keys)
         starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
         counts = np.diff(np.append(starts, len(ordered)))
@@ -51,27 +55,27 @@ def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROU
             frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:room]]
         chosen = ordered[starts[frequent]]
         # a table by hash tells which pairs are chosen; of two that share a place the more frequent one is kept
-        bits = 20
-        place = lambda k: ((k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
-        table = np.full(1 << bits, -1, np.int32)
+        place = lambda k: (k * kind(spread)) >> down
+        table = np.full(1 << bits, -1, np.int16)
         at = place(chosen)[::-1]
-        table[at] = np.arange(len(chosen), dtype=np.int32)[::-1]
+        table[at] = np.arange(len(chosen), dtype=np.int16)[::-1]
         kept = np.unique(table[at])
         chosen = chosen[kept]
         table[:] = -1
-        table[place(chosen)] = np.arange(len(chosen), dtype=np.int32)
+        table[place(chosen)] = np.arange(len(chosen), dtype=np.int16)
         rule = table[place(keys)]
         hit = np.flatnonzero(rule >= 0)
         hit = hit[chosen[rule[hit]] == keys[hit]]
         # in a run of overlapping pairs every other one is replaced
         run = np.concatenate([[True], np.diff(hit) != 1]) if len(hit) else np.zeros(0, bool)
-        since = np.arange(len(hit)) - np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))
-        hit = hit[since % 2 == 0]
-        symbols[hit] = first_rule + made + rule[hit]
+        turn = np.arange(len(hit), dtype=np.int32)
+        turn -= np.maximum.accumulate(np.where(run, turn, 0))
+        hit = hit[turn & 1 == 0]
+        symbols[hit] = first_rule + made + rule[hit].astype(np.int64)
         stay = np.ones(len(symbols), bool)
         stay[hit + 1] = False
-        symbols = symbols[stay]
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
+        symbols = symbols[np.flatnonzero(stay)]
+        rules.append(np.stack([chosen >> kind(half), chosen & part], axis=1).astype(np.int64))
         made += len(chosen)
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
