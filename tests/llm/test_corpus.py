@@ -215,6 +215,13 @@ def test_encoder_equals_tokenizer(docs):
         assert tool.encode([text.encode()], None)[0].tolist() == tool.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("text", ["<|ENDOFTEXT|>", "x<|EndOfText|>y A", "<|ENDOFTEXT|> <|endoftext|> B", "J\u030c", "H\u0331 THE", "T\u0308", "W\u030a, Ring. CAFÉ Café K\u030c", "É <|STARTOFTEXT|> THE, End."])
+def test_encoder_leaves_lower_case_to_the_tokenizer(text):
+    tool = Encoder(tokenizer_path())
+    for again in range(2):  # the second time from memory, beside what another text left there
+        assert tool.encode([text.encode(), text.lower().encode()], None)[0].tolist() == [i for t in (text, text.lower()) for i in tool.tokenizer.encode(t, add_special_tokens=False).ids]
+
+
 # 4 mixing
 
 

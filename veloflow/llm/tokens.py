@@ -36,9 +36,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """Chunks (words between ASCII white space, ASCII letters in lower case) to numbers; ids of a number are in a table.
+    """Chunks (words between ASCII white space) to numbers; ids of a number are in a table.
 
     White space never joins pieces, so a text's ids are those of its chunks. A chunk is encoded once while it is remembered.
+    Only ASCII chunks are put in lower case here, and none of a text that holds a special token in other letters: the
+    tokenizer composes before it lower-cases, and looks for special tokens before both.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,6 +52,7 @@ class Encoder(dict):
         self.model = self.tokenizer.model
         self.plain = '"Lowercase"' in self.tokenizer.to_str()[:4000]
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.folded = [s.lower() for s in self.special]
         self.forget()
 
     def forget(self) -> None:
@@ -59,7 +62,9 @@ class Encoder(dict):
 
     def __missing__(self, chunk: bytes) -> int:
         core = chunk.rstrip(TAIL)
-        if core.isalpha():  # ASCII letters
+        if core.isalpha() and (low := chunk.lower()) != chunk:  # a word of a text with other than ASCII characters
+            ids = self._known(low)
+        elif core.isalpha():  # ASCII letters
             ids = self._letters(core.decode()) if core is chunk or core == chunk else self._known(core) + self._known(chunk[len(core) :])
         else:
             ids = self._chunk(chunk.decode("utf-8", "replace"))
@@ -99,7 +104,8 @@ class Encoder(dict):
                 found = map(self._literal, self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
                 parts += [np.fromiter(found, np.int64), last]
             else:
-                chunks = text.lower().split()
+                low = text.lower()
+                chunks = (low if text.isascii() and not any(s in low for s in self.folded) else text).split()
                 parts += [np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks)), last]
         counts = np.fromiter(map(len, parts), np.int64, len(parts)).reshape(-1, 2).sum(1)
         numbers = np.concatenate(parts) if parts else last[:0]
