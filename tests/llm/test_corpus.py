@@ -147,6 +147,20 @@ def test_literals_are_found_where_they_are_written(text, literal):
     assert literal in [text[s:e] for s, e, k in secrets.spans(text) if k == "literal"] or any(literal in text[s:e] for s, e, _ in secrets.spans(text))
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        'api_key: str = "{}"', 'let password: String = "{}"', 'const token string = "{}"', 'config["password"] = "{}"', 'char token[32] = "{}"', "$config['db']['password'] = '{}';",
+        'api_key: Optional[str] = "{}"', 'const TOKEN: &\'static str = "{}";', 'private secret?: string | undefined = "{}"', 'var password MyString = "{}"', "DECLARE @password VARCHAR(50) = '{}'",
+        'std::map<int> m; char token[] = "{}"', 'x["a"] = 1\nsecret: Final = "{}" + "b"', 'key: str = "{}"\nconnect(db_password = key)', 'token []byte = "{}"',
+    ],
+)
+def test_literals_are_found_behind_types_and_brackets(text):
+    literal = "Zx9#kQ2!vv"
+    assert literal in [t for t in (text.format(literal)[s:e] for s, e, k in secrets.spans(text.format(literal)) if k == "literal")]
+    assert literal not in secrets.masked(text.format(literal))
+
+
 @pytest.mark.parametrize("text", ["Author: Jane, the token of love", "password = \"changeme\"", "a = 'hello world'", "total: 123456", "the authority: someone", ""])
 def test_plain_texts_have_no_literals(text):
     assert secrets.literal_spans(text) == []

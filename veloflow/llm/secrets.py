@@ -1,8 +1,8 @@
 """Secrets in texts: fixed patterns, and assignment-aware lexing of source and configuration syntax.
 
 The lexer reads a text into names, literals and signs and puts together (name, literal) pairs of ``name = "literal"``,
-``"name": "literal"``, ``name: literal``, ``NAME=literal``, ``<name>literal</name>`` and ``name="a" + "b"``. A name that is
-assigned to another one hands its literal on, so a constant that ends in a sensitive name is found where it is written.
+``"name": "literal"``, ``name: literal``, ``NAME=literal``, ``<name>literal</name>`` and ``name="a" + "b"``, also with a type or an array size
+between name and sign and with the name as a key in brackets. A name that is assigned to another one hands its literal on, so a constant that ends in a sensitive name is found where it is written.
 Literals are scored by how sensitive the names are that they reach.
 """
 
@@ -44,6 +44,11 @@ LEX = re.compile(
     rf"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)|(?P<tag><({NAME})>(?P<inner>[^<>\n]+)</\3>)|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$.\-/+]*)|(?P<sign>:=|=>|==|!=|<=|>=|[=:+,;()\[\]{{}}]|\n)|(?P<other>[^\sA-Za-z0-9_$])"""
 )
 SIGNS = ("=", ":", ":=", "=>")
+#: Words that are a type, or part of one, between a name and its sign.
+TYPES = frozenset("str string bytes byte char wchar text varchar nvarchar object any final optional option const static mut none null undefined literal secretstr".split())
+DECLARES = frozenset("const var let val static declare".split())
+#: Lexemes of a type that are looked through for the sign after it.
+TYPE_REACH = 12
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -80,6 +85,56 @@ def score(name: str, literal: str) -> float:
     return weight + 0.5 * (kinds - 1) + min(entropy(literal), 4.0) / 4
 
 
+def _after_brackets(lexemes: list[re.Match[str]], i: int) -> int:
+    """The lexeme after a closing bracket and array sizes: of ``config["name"] =`` and ``name[32] =`` the sign."""
+    if i < len(lexemes) and lexemes[i]["sign"] == "]":
+        i += 1
+    while i < len(lexemes) and lexemes[i]["sign"] == "[":
+        size = i + 1 + (i + 1 < len(lexemes) and bool(lexemes[i + 1]["word"]))
+        if size >= len(lexemes) or lexemes[size]["sign"] != "]":
+            break
+        i = size + 1
+    return i
+
+
+def _after_type(lexemes: list[re.Match[str]], i: int) -> int | None:
+    """The sign of assignment after a type that begins at ``i``, on the same line; None if no type is there."""
+    depth = words = 0
+    for k in range(i, min(i + TYPE_REACH, len(lexemes))):
+        m = lexemes[k]
+        if m["sign"] in ("=", ":=") and not depth:
+            return k if words else None
+        if m["word"] or m["string"]:
+            words += 1
+        elif m["sign"] in ("[", "("):
+            depth += 1
+        elif m["sign"] in ("]", ")") and depth:
+            depth -= 1
+        elif not (m["sign"] == ":" or (m["sign"] == "," and depth)):
+            return None
+    return None
+
+
+def _is_type(lexemes: list[re.Match[str]]) -> bool:
+    return any((m["word"] or "").lower() in TYPES for m in lexemes)
+
+
+def _signs(lexemes: list[re.Match[str]], i: int) -> list[int]:
+    """Where the signs are that may assign to the name at ``i``: the one beside it, and the one after a type."""
+    at = _after_brackets(lexemes, i + 1)
+    if at >= len(lexemes):
+        return []
+    sign = lexemes[at]["sign"]
+    if sign not in SIGNS:
+        after = _after_type(lexemes, at) if lexemes[i]["word"] else None
+        declared = i > 0 and (lexemes[i - 1]["word"] or "").lower() in DECLARES
+        return [after] if after is not None and (declared or (lexemes[at]["word"] or "").lower() in TYPES or (at > i + 1 and _is_type(lexemes[at:after]))) else []
+    after = _after_type(lexemes, at + 1) if sign == ":" else None
+    if after is None:
+        return [at]
+    return [after] if _is_type(lexemes[at + 1 : after]) else [at, after]
+
+
 def pairs(text: str) -> list[tuple[str, str, int, int]]:
     """(name, literal, start, end) with constants handed on: a literal comes once for each name that it reaches.
 
@@ -97,29 +152,33 @@ def pairs(text: str) -> list[tuple[str, str, int, int]]:
             i += 1
             continue
         name = m["word"] or (m["string"][1:-1] if m["string"] else None)
-        if not name or i + 2 >= len(lexemes) or lexemes[i + 1]["sign"] not in SIGNS:
+        if not name:
             i += 1
             continue
         quoted = bool(m["string"])
         values: list[tuple[str, int, int]] = []
-        j, more = i + 2, True
-        while more and j < len(lexemes):
-            v = lexemes[j]
-            if v["string"]:
-                values.append((v["string"][1:-1], v.start() + 1, v.end() - 1))
-            elif v["word"] and v["word"] in known:
-                values += known[v["word"]]
-            elif v["word"] and (j + 1 >= len(lexemes) or lexemes[j + 1]["sign"] not in ("(", *SIGNS)):
-                values.append((v["word"], v.start(), v.end()))
-            else:
-                break
-            more = j + 1 < len(lexemes) and lexemes[j + 1]["sign"] == "+"
-            j += 2
+        end = i + 1
+        for sign in _signs(lexemes, i):
+            j, more = sign + 1, True
+            while more and j < len(lexemes):
+                v = lexemes[j]
+                if v["string"]:
+                    values.append((v["string"][1:-1], v.start() + 1, v.end() - 1))
+                elif v["word"] and v["word"] in known:
+                    values += known[v["word"]]
+                elif v["word"] and (j + 1 >= len(lexemes) or lexemes[j + 1]["sign"] not in ("(", *SIGNS)):
+                    values.append((v["word"], v.start(), v.end()))
+                else:
+                    break
+                more = j + 1 < len(lexemes) and lexemes[j + 1]["sign"] == "+"
+                j += 2
+            if values and end == i + 1:
+                end = max(end, j - 1)
         if values:
             found += [(name, *v) for v in values]
             if not quoted:
                 known[name] = values
-        i = max(i + 1, j - 1) if values else i + 1
+        i = end
     return found
 
 
