@@ -161,6 +161,29 @@ def test_literals_are_found_behind_types_and_brackets(text):
     assert literal not in secrets.masked(text.format(literal))
 
 
+@pytest.mark.parametrize("name", [*secrets.SENSITIVE, "db_pwd", "signingKey", "client-key", "authorization_code", "password_field", "bearerToken"])
+def test_each_sensitive_name_counts(name):
+    text = f'my_{name} = "s3cretPass99x"'
+    assert any(text[s:e] == "s3cretPass99x" or k == "assign" for s, e, k in secrets.spans(text))
+    assert secrets.literal_spans(text) == [(text.index('"') + 1, len(text) - 1, "literal")]
+
+
+@pytest.mark.parametrize(
+    "text,literal",
+    [
+        ('db_pwd = "s3cretpass99"', "s3cretpass99"), ('credential: "3f9a8b7c6d5e"', "3f9a8b7c6d5e"), ('passphrase = "correcthorse"', "correcthorse"), ('auth = "3f9a8b7c6d5e4f10a2"', "3f9a8b7c6d5e4f10a2"),
+        ('passphrase: "correct horse battery staple"', "correct horse battery staple"), ('"Authorization": "Bearer eyJhbGciOi.x7"', "Bearer eyJhbGciOi.x7"), ('privateKey = "aaaaaaaa"', "aaaaaaaa"),
+    ],
+)
+def test_plain_literals_of_sensitive_names_are_found(text, literal):
+    assert literal in [text[s:e] for s, e, k in secrets.spans(text) if k == "literal"]
+
+
+@pytest.mark.parametrize("text", ["Authors: 's3cretPass99x'", "max_tokens = 's3cretPass99x'", "password_label = 'userpassword'", "auth: required", "secret_santa = 'a note to all'", "credential = 'your-key here'"])
+def test_harmless_names_have_no_literals(text):
+    assert secrets.literal_spans(text) == []
+
+
 @pytest.mark.parametrize("text", ["Author: Jane, the token of love", "password = \"changeme\"", "a = 'hello world'", "total: 123456", "the authority: someone", ""])
 def test_plain_texts_have_no_literals(text):
     assert secrets.literal_spans(text) == []

@@ -32,11 +32,23 @@ SENSITIVE = {
     "password": 3, "passwd": 3, "passphrase": 3, "pwd": 2, "secret": 3, "token": 2, "apikey": 3, "api_key": 3, "credential": 2,
     "private_key": 3, "privatekey": 3, "access_key": 3, "accesskey": 3, "auth": 1, "bearer": 2, "client_key": 2, "signing_key": 3, "encryption_key": 3,
 }
-#: Parts of names that hold no secret although a sensitive part is in them.
-HARMLESS = ("author", "authority", "token_count", "tokenizer", "max_token", "secretary", "password_hint", "field", "label", "policy")
+#: How they are written in lower-cased texts.
+SPELLINGS = sorted({part.replace("_", joint) for part in SENSITIVE for joint in ("_", "-", ".", "")})
+#: Whole parts of names that hold no secret although a sensitive part is in them.
+HARMLESS = (
+    "author", "authors", "authored", "authority", "authorities", "token_count", "token_counts", "tokenizer", "tokenizers", "max_token", "max_tokens",
+    "secretary", "secretaries", "password_hint", "password_hints",
+)
+#: Whole parts of names of what stands beside a secret, more often than the secret itself: they take 2 from the weight.
+BESIDES = ("field", "fields", "label", "labels", "policy", "policies")
+#: Names whose literals may have spaces, and values that do under other names.
+PHRASES = ("passphrase", "password", "passwd", "pwd")
+SCHEME = re.compile(r"(?i)(?:bearer|basic|token|digest)\x20+\S+")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|undefined|changeme|example|placeholder|your[-_ ].*|<.*>|\$\{.*\}|%\(.*\)s|\{\{.*\}\})$")
 MIN_LENGTH = 6
-MIN_SCORE = 4.0
+#: Each name above reaches it: weight 3 with any literal, 2 with two classes of characters or a bit a character, 1 with two
+#: classes and 3 bits a character (hexadecimal keys), or three classes.
+MIN_SCORE = 2.25
 
 NAME = r"[A-Za-z_$][A-Za-z0-9_$.\-]*"
 #: Words, strings with escapes, signs of assignment and joining; anything else separates.
@@ -62,12 +74,19 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def flat_name(name: str) -> str:
+    """Camel case, dashes and dots are read as underscores."""
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower().replace("-", "_").replace(".", "_")
+
+
 def sensitivity(name: str) -> int:
-    """Weight of a name: camel case and dashes are read as underscores."""
-    flat = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower().replace("-", "_").replace(".", "_")
-    if any(h in flat for h in HARMLESS):
+    """Weight of a name."""
+    flat = flat_name(name)
+    whole = f"_{flat}_"
+    if any(f"_{h}_" in whole for h in HARMLESS):
         return 0
-    return max((w for part, w in SENSITIVE.items() if part in flat), default=0)
+    weight = max((w for part, w in SENSITIVE.items() if part in flat), default=0)
+    return max(weight - 2 * any(f"_{b}_" in whole for b in BESIDES), 0)
 
 
 def entropy(literal: str) -> float:
@@ -79,7 +98,9 @@ def entropy(literal: str) -> float:
 def score(name: str, literal: str) -> float:
     """Sensitivity of the name plus how unlike a word the literal is; zero for short literals and placeholders."""
     weight = sensitivity(name)
-    if not weight or len(literal) < MIN_LENGTH or PLACEHOLDER.match(literal) or " " in literal.strip():
+    if not weight or len(literal) < MIN_LENGTH or PLACEHOLDER.match(literal):
+        return 0.0
+    if " " in literal.strip() and not SCHEME.fullmatch(literal.strip()) and not any(p in flat_name(name) for p in PHRASES):
         return 0.0
     kinds = sum(bool(re.search(k, literal)) for k in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
     return weight + 0.5 * (kinds - 1) + min(entropy(literal), 4.0) / 4
@@ -185,7 +206,7 @@ def pairs(text: str) -> list[tuple[str, str, int, int]]:
 def literal_spans(text: str, least: float = MIN_SCORE) -> list[tuple[int, int, str]]:
     """Spans of literals that a sensitive name reaches with a score of ``least`` or more, each once."""
     low = text.lower()
-    if not any(c in text for c in "=:<") or not any(part in low for part in SENSITIVE):
+    if not any(c in text for c in "=:<") or not any(part in low for part in SPELLINGS):
         return []
     return sorted({(s, e, "literal") for name, literal, s, e in pairs(text) if score(name, literal) >= least})
 
