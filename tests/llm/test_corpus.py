@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veloflow.llm import neardup, packing, search, secrets, token_files, warc
+from veloflow.llm import neardup, packing, search, secrets, similar, token_files, warc
 from veloflow.llm.chat import render
 from veloflow.llm.components import components
 from veloflow.llm.html_text import extract, main_text
@@ -440,6 +440,55 @@ def test_components_of_long_chains(spark):
     assert {r.node: r.root for r in got} == {i: 0 for i in range(n + 1)} | {1000: 1000, 1001: 1000}
 
 
+def slow_similar(rows):
+    """The least key of each component of documents with 5-word Jaccard similarity of 0.8 or more, every pair compared."""
+    words = [t.lower().split() for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set() for w in words]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or (5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)):
+                root[top(i)] = top(j)
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        least[top(i)] = min(k, least.get(top(i), k))
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("block,common", [(4096, 8), (2, 2)])
+def test_near_dedup_stage_finds_similar_texts(spark, monkeypatch, block, common):
+    import corpus_pipeline as pipeline
+
+    monkeypatch.setattr(similar, "COMMON", common)
+    monkeypatch.setattr(similar.similar_links, "__defaults__", ("text", block))
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(900, ""), (901, " "), (902, "Ä b"), (903, "ä B"), (904, "one two")]
+    for d in range(25):
+        words = [f"v{x}" for x in rng.integers(0, 400, rng.integers(20, 300))]
+        for copy in range(4):
+            now = list(words)
+            for at in rng.integers(0, len(now), [0, 2, 4, len(now) // 25][copy]):
+                now[at] = f"edit{rng.integers(0, 99)}"
+            rows.append((d * 4 + copy, " ".join(now) + (f" {passage}" if d % 2 else "")))
+    got = pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r.doc_id for r in got.collect()) == slow_similar(rows)
+
+
+def test_near_dedup_stage_odd(odd):
+    got = similar.keep_one_similar(odd)
+    assert got.columns == odd.columns
+    assert sorted((r.doc_id, (r.text or "")[:9]) for r in got.collect()) == sorted([(1, PROSE[:9]), (3, ""), (7, "w0 w1 w2 "), (8, "Ünï ɑ 日本語"[:9]), (9, 'token = "'), (9, "same id, ")])
+    assert similar.keep_one_similar(odd.limit(0)).count() == 0
+
+
 # 9 HTML
 
 
