@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veloflow.llm import neardup, packing, search, secrets, similar, token_files, warc
+from veloflow.llm import minhash, neardup, packing, search, secrets, similar, token_files, warc
 from veloflow.llm.chat import render
 from veloflow.llm.components import components
 from veloflow.llm.html_text import extract, main_text
@@ -462,12 +462,11 @@ def slow_similar(rows):
     return sorted(least.values())
 
 
-@pytest.mark.parametrize("block,common", [(4096, 8), (2, 2)])
-def test_near_dedup_stage_finds_similar_texts(spark, monkeypatch, block, common):
+@pytest.mark.parametrize("block", [1 << 18, 300])
+def test_near_dedup_stage_finds_similar_texts(spark, monkeypatch, block):
     import corpus_pipeline as pipeline
 
-    monkeypatch.setattr(similar, "COMMON", common)
-    monkeypatch.setattr(similar.similar_links, "__defaults__", ("text", block))
+    monkeypatch.setattr(minhash.similar_links, "__defaults__", (None, block))
     rng = np.random.default_rng(5)
     passage = " ".join(f"p{i}" for i in range(12))
     rows = [(900, ""), (901, " "), (902, "Ä b"), (903, "ä B"), (904, "one two")]
@@ -606,12 +605,7 @@ def test_pipeline_stages(spark, docs):
             kept = {r.doc_id for r in quality_report(before).filter("kept").collect()}
             assert {r.doc_id for r in now.collect()} == kept
         elif name == "near_dedup":
-            marks = [(i, slow_fingerprint(t)) for i, t in texts(before)]
-            root = brute_components([m for _, m in marks])
-            least = {}
-            for i, m in marks:
-                least[root[m]] = min(i, least.get(root[m], i))
-            assert sorted(r.doc_id for r in now.collect()) == sorted(least.values())
+            assert sorted(r.doc_id for r in now.collect()) == slow_similar(texts(before))
         elif name == "secret_scans":
             assert dict(texts(now)) == {i: secrets.masked(t) for i, t in texts(before)} and not any(brute_base(t) for _, t in texts(now))
             assert all(r.n_chars == len(r.text) for r in now.collect() if "[SECRET]" in r.text)

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veloflow.llm.chat import render
+from veloflow.llm.clustering import cluster
 from veloflow.llm.html_text import extract
+from veloflow.llm.minhash import min_hash_duplicates
 from veloflow.llm.mixing import mix
 from veloflow.llm.neardup import near_duplicates
 from veloflow.llm.packing import pack
 from veloflow.llm.quality import quality_report
+from veloflow.llm.repair import repair
 from veloflow.llm.search import every_twentieth, top_k
 from veloflow.llm.secrets import scan
 from veloflow.llm.token_files import token_files
@@ -65,6 +68,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return min_hash_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -139,6 +154,39 @@ SELECT conv_id, n AS n_turns, n_equal, prefix AS rendered FROM whole
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.place < p.n AND p.place = whole.n AND p.prefix = whole.prefix)
 """
 
+MINHASH_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END) AS shingle FROM d),
+n AS MATERIALIZED (SELECT r, count(*) AS size FROM s GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.r < b.r GROUP BY ALL),
+links AS MATERIALIZED (SELECT x, y FROM pairs JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * common >= 80 * (p.size + q.size - common)),
+reach AS (SELECT r, r AS other FROM d UNION
+  SELECT reach.r, e.y FROM reach JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) e ON e.x = reach.other)
+SELECT d.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id, d.doc_id IS NOT DISTINCT FROM min(o.doc_id) AS kept
+FROM d JOIN reach ON reach.r = d.r JOIN d o ON o.r = reach.other LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id
+"""
+
+
+def clustering_sql(rounds: int = 3, count: int = 16) -> str:
+    """The rounds written out one after another, all in whole numbers."""
+    near = """SELECT vec_id, v.r, arg_min(c.number, struct_pack(far := gap(v.x, c.x), number := c.number)) AS number, min(gap(v.x, c.x)) AS far FROM v, {c} c GROUP BY vec_id, v.r"""
+    gap = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [
+        "v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS number, x FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {count}))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED ({near.replace('gap(v.x, c.x)', gap.format(a='v.x', b='c.x')).format(c=f'c{i}')})")
+        if i < rounds:
+            steps.append(f"m{i} AS (SELECT number, place, (s - ((s % k) + k) % k) // k AS x FROM (SELECT number, place, sum(value)::BIGINT AS s, count(*) AS k FROM (SELECT number, unnest(v.x) AS value, generate_subscripts(v.x, 1) AS place FROM a{i} JOIN v USING (r)) GROUP BY number, place))")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.number, coalesce(any_value(n.x), any_value(c.x)) AS x FROM c{i} c LEFT JOIN (SELECT number, list(x ORDER BY place) AS x FROM m{i} GROUP BY number) n ON n.number = c.number GROUP BY c.number)")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, a.number::INTEGER AS cluster, far::BIGINT AS distance, (sum(far) OVER (PARTITION BY a.number))::BIGINT AS cluster_inertia, (sum(far) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.number = a.number"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -152,6 +200,9 @@ QUERIES: dict[str, Query] = {
         op8_simhash_near_dedup,
         op9_html_extraction,
         op10_best_fit_packing,
+        op11_conversation_repair,
+        op12_minhash_near_dedup,
+        op13_centroid_clustering,
     )
 }
 ORACLE: dict[str, str] = {
@@ -160,4 +211,6 @@ ORACLE: dict[str, str] = {
     "op5_quality_rules": QUALITY_SQL,
     "op6_warc": WARC_SQL,
     "op7_chat_formatting": CHAT_SQL,
+    "op12_minhash_near_dedup": MINHASH_SQL,
+    "op13_centroid_clustering": clustering_sql(),
 }

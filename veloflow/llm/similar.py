@@ -1,200 +1,45 @@
-"""Documents whose sets of word shingles are similar, found exactly: prefix filtering, then the similarity of each candidate.
+"""One document of each group of similar ones: SimHash links and MinHash stars as candidates, similarity checked in full.
 
-Two sets of sizes m >= n with Jaccard similarity of at least 4/5 have 4/9 (m + n) members in common, so under any one order
-of all shingles the first n - ceil(4n/5) + l of both sets share l members (l at most ceil(4n/5) of the smaller). Sets are
-indexed by these, and pairs that share l of them are candidates. The order puts
-shingles that are common in a sample last, so that a passage in many documents is indexed only where little else is.
+Two texts of similarity 0.8 differ in some ten bits of a SimHash, where keys of few segments no longer tell texts apart. So
+the links within four bits come from deletion-variant signatures, and the rest from the banded buckets of ``minhash``. Both
+are candidates only: documents are linked where their sets of shingles have a Jaccard similarity of 0.8 or more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from veloflow.llm.common import fresh, written
-from veloflow.llm.components import components
+from veloflow.llm import minhash, neardup
+from veloflow.llm.common import fresh
 
 SHINGLE = 5
-#: Documents that the order of shingles is made from, and how many of them have a common shingle. No result depends on it.
-SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 50_000
-#: Members that candidates share in what they are indexed by; fewer where a set is too small for that. No result depends on it.
-SHARED = 6
-#: A common shingle is dealt out in blocks of about this many sets; every two blocks meet in one group.
-BLOCK = 4096
-#: Candidates of a group are handed on in lists of about this many.
-PAIRS = 1 << 18
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
-    """Hashes of the lower-cased words' shingles, each once, sorted; a text of fewer words is one shingle, none has none."""
-    words = text.lower().split() if text.isascii() else text.decode("utf-8", "replace").lower().encode().split()
-    whole = b" ".join(words)
-    h = xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return np.array([h(whole)] if words else [], np.uint64)
-    gaps = np.flatnonzero(np.frombuffer(whole, np.uint8) == 32)
-    starts = np.concatenate([[0], gaps + 1])[: len(words) - width + 1].tolist()
-    ends = np.append(gaps, len(whole))[width - 1 :].tolist()
-    return np.unique(np.fromiter([h(whole[s:e]) for s, e in zip(starts, ends, strict=True)], np.uint64, len(starts)))
+    """As ``minhash.shingles``, with all letters in lower case."""
+    return minhash.shingles(text if text.isascii() else text.decode("utf-8", "replace").lower().encode(), width)
 
 
-def mark_of(members: np.ndarray) -> int:
-    """A signed 64-bit number for a set: equal sets have equal ones."""
-    return int(np.uint64(xxhash.xxh64_intdigest(members.tobytes(), 7)).astype(np.int64))
+def sim_hash(members: np.ndarray) -> int:
+    """Signed SimHash of a set: a bit is 1 if it is set in over half the members."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(members), 1 << 16):
+        counts += np.unpackbits(members[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(members), bitorder="little").view(np.int64)[0])
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Jaccard similarity of 4/5 or more, of sorted sets."""
-    return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
-
-
-def prefix(members: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The members to index: the first in the order of (count in the sample, hash)."""
-    least = (4 * len(members) + 4) // 5
-    size = len(members) - least + min(SHARED, least)
-    if not len(common):
-        return members[:size]
-    at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-    rank = np.where(common[at] == members, counts[at], 0)
-    return members[np.argsort(rank, kind="stable")[:size]]
-
-
-def _texts(docs: DataFrame, text: str, *columns: str) -> DataFrame:
-    return docs.select(*columns, F.coalesce(F.col(text), F.lit("")).cast("binary").alias(fresh(docs, "text_bytes")))
-
-
-def _common(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, float]:
-    """Shingles common in a sample, sorted, how many of its documents have them, and how many documents one stands for."""
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    picked = _texts(docs.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)) + 1), text).distinct()
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_py()).view(np.int64))], ["s"])
-
-    found = picked.mapInArrow(each, "s long").groupBy("s").count().filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "s").limit(MOST_COMMON).toPandas()
-    common, counts = found["s"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
-    order = np.argsort(common)
-    return common[order], counts[order], 1 / share
-
-
-def _indexed(sets: DataFrame, common: np.ndarray, counts: np.ndarray, scale: float, block: int) -> DataFrame:
-    """(grp, mark, n) for each member of each prefix; of a common one a row for every two blocks that the set's is in."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            lists = batch.column(2)
-            members, ends = lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(marks)), ends)
-            blocks = np.ones(len(members), np.int64)
-            if len(common) and len(members):
-                at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-                blocks = np.where(common[at] == members, np.ceil(counts[at] * scale / block).astype(np.int64), 1)
-            one = blocks == 1
-            grp, who = [members[one].view(np.int64)], [row[one]]
-            for i in np.flatnonzero(~one):
-                own = int(np.uint64(marks[row[i]].view(np.uint64)) % np.uint64(blocks[i]))
-                pairs = [(int(members[i]), min(own, j), max(own, j)) for j in range(int(blocks[i]))]
-                grp.append(np.array([xxhash.xxh64_intdigest(repr(p)) for p in pairs], np.uint64).view(np.int64))
-                who.append(np.full(len(pairs), row[i]))
-            at = np.concatenate(who)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grp)), pa.array(marks[at]), pa.array(sizes[at].astype(np.int32))], ["grp", "mark", "n"])
-
-    return sets.select("mark", "n", "prefix").mapInArrow(rows, "grp long, mark long, n int")
-
-
-def _need(m: np.ndarray, n: np.ndarray) -> pa.Array:
-    return pa.array(np.minimum((4 * np.minimum(m, n) + 4) // 5, SHARED).astype(np.int32))
-
-
-def _pairs(marks: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs (a < b) of a group whose sizes allow the similarity, and how many members both must share where they are indexed."""
-    order = np.argsort(marks)
-    marks, sizes = marks[order], sizes[order].astype(np.int64)
-    step = max(1, PAIRS // len(marks))
-    for at in range(0, len(marks), step):
-        own = sizes[at : at + step, None]
-        fits = (5 * np.minimum(own, sizes) >= 4 * np.maximum(own, sizes)) & (marks[at : at + step, None] < marks)
-        a, b = np.nonzero(fits)
-        yield pa.RecordBatch.from_arrays([pa.array(marks[at + a]), pa.array(marks[b]), _need(sizes[at + a], sizes[b])], ["a", "b", "need"])
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (grp, mark, n) sorted by group to pairs; a group may run on into the next batch."""
-    kept: list[pa.RecordBatch] = []
-    last = None
-
-    def done(parts: list[pa.RecordBatch], final: bool) -> Iterator[pa.RecordBatch]:
-        grp, marks, sizes = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(3))
-        over = len(grp) if final else int(np.searchsorted(grp, grp[-1]))
-        starts = np.flatnonzero(np.append(True, grp[1:over] != grp[: over - 1])) if over else np.zeros(0, np.int64)
-        width = np.diff(np.append(starts, over))
-        two = starts[width == 2]
-        m, n = marks[two], marks[two + 1]
-        s, t = sizes[two].astype(np.int64), sizes[two + 1].astype(np.int64)
-        fits = (5 * np.minimum(s, t) >= 4 * np.maximum(s, t)) & (m != n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(m, n)[fits]), pa.array(np.maximum(m, n)[fits]), _need(s[fits], t[fits])], ["a", "b", "need"])
-        for i in np.flatnonzero(width > 2):
-            yield from _pairs(marks[starts[i] : starts[i] + width[i]], sizes[starts[i] : starts[i] + width[i]])
-        kept[:] = [pa.RecordBatch.from_arrays([pa.array(x[over:]) for x in (grp, marks, sizes)], ["grp", "mark", "n"])] if over < len(grp) else []
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        kept.append(batch)
-        if last is None or batch.column(0)[-1].as_py() != last:  # a group that fills whole batches is put together once
-            yield from done(list(kept), False)
-        last = batch.column(0)[-1].as_py()
-    if kept:
-        yield from done(list(kept), True)
-
-
-def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar."""
-
-    def true(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (batch.column(i) for i in (2, 3))
-            yes = pa.array([similar(x[i].values.to_numpy(), y[i].values.to_numpy()) for i in range(batch.num_rows)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(yes), batch.column(1).filter(yes)], ["a", "b"])
-
-    left, right = (full.select(F.col("mark").alias(c), F.col("members").alias(f"of_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(true, "a long, b long")
-
-
-def similar_links(docs: DataFrame, sets: DataFrame, common: tuple[np.ndarray, np.ndarray, float], text: str = "text", block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between marks of similar sets, enough to connect all that such links connect.
-
-    Each set is first held against its candidate of the smallest mark; of the other candidates only those are compared that
-    these links do not connect. So a group of near copies costs about one comparison for each.
-    """
-    index = _indexed(sets, *common, block).repartition("grp").sortWithinPartitions("grp")
-    shared = index.mapInArrow(_candidates, "a long, b long, need int").groupBy("a", "b", "need").count()
-    pairs = written(shared.filter(F.col("count") >= F.col("need")).select("a", "b"), "candidates")
-    ends = pairs.select(F.col("a").alias("mark")).unionAll(pairs.select(F.col("b").alias("mark"))).distinct()
-    picked = sets.join(ends, "mark", "left_semi").select(F.col("text_hash").alias("h")).distinct()
-    texts = _texts(docs.join(written(picked, "candidate-texts"), F.xxhash64(text) == F.col("h"), "left_semi"), text)
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([mark_of(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["mark", "members"])
-
-    full = written(texts.distinct().mapInArrow(sets_of, "mark long, members array<long>").dropDuplicates(["mark"]), "candidate-sets")
-    first = written(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), full), "first-links")
-    roots = written(components(first, "a", "b"), "first-roots")
-    of = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    apart = pairs.join(of[0], "a", "left").join(of[1], "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    least = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    return first.unionAll(_verified(apart.join(least, ["a", "b"], "left_anti"), full))
+def sim_hash_candidates(sketches: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of marks: those of one fingerprint against its least mark, and least marks of fingerprints that link."""
+    prints = sketches.filter("n > 0").join(firsts.select("row"), "row", "left_semi").select("print", "mark")
+    least = prints.groupBy("print").agg(F.min("mark").alias("centre"))
+    same = prints.join(least, "print").filter("mark <> centre").select(F.col("centre").alias("a"), F.col("mark").alias("b"))
+    of = [least.select(F.col("print").alias(f"print_{c}"), F.col("centre").alias(c)) for c in "ab"]
+    near = neardup.links(least, "print").select(F.col("a").alias("print_a"), F.col("b").alias("print_b"))
+    return same.unionAll(near.join(of[0], "print_a").join(of[1], "print_b").select("a", "b"))
 
 
 def keep_one_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,29 +48,16 @@ def keep_one_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     Shingles are five lower-cased words; texts without words are equal. All columns stay. A component without a key (all
     null) keeps a row with the smallest mark. Of repeated keys with equal sets one row stays.
     """
-    mark, row, root, least = (fresh(docs, name) for name in ("mark", "row_no", "root_mark", "least_key"))
-    common = _common(docs, text)
-    values, counts, _ = common
-
-    def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(2)]
-            first = pa.array([prefix(s, values, counts).view(np.int64) for s in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([mark_of(s) for s in found], pa.int64()), pa.array(map(len, found), pa.int32()), first], ["k", "text_hash", "mark", "n", "prefix"])
-
-    keyed = _texts(docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t")), "t", "k", "text_hash")
-    every = keyed.mapInArrow(prepared, T.StructType([keyed.schema["k"], *T._parse_datatype_string("text_hash long, mark long, n int, prefix array<long>").fields]))
-    sets = written(every.groupBy("mark").agg(F.min("k").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("text_hash").alias("text_hash")), "sets")
-    joined = components(similar_links(docs, sets, common, text), "a", "b")
-    roots = sets.select(F.col("mark").alias("m"), "least").join(joined, F.col("m") == F.col("node"), "left").select("m", "least", F.coalesce("root", "m").alias("root"))
-    best = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "m")).alias("x")).select(F.col("x.m").alias(root), F.col("x.least").alias(least))
-
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [mark_of(shingles(t.as_py())) for t in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], [*batch.schema.names[:-1], mark])
-
-    marked = _texts(docs, text, *docs.columns).mapInArrow(marks, T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())]))
-    kept = marked.join(best, (F.col(mark) == F.col(root)) & F.col(key).eqNullSafe(F.col(least))).drop(root, least)
-    each = Window.partitionBy(mark, key).orderBy(F.lit(1))
-    return kept.withColumn(row, F.row_number().over(each)).filter(F.col(row) == 1).drop(mark, row)
+    place, row = fresh(docs, "row_place"), fresh(docs, "row_no")
+    sketches = minhash.sketched(docs.withColumn(place, F.struct(F.col(key).alias("k"), F.xxhash64(text).alias("h"))), place, text, partial(shingles), {"print": sim_hash})
+    plain = sketches.select(F.col("k.k").alias("k"), F.col("k.h").alias("h"), "row", "mark", "n", "bands", "members", "print")
+    firsts = minhash.distinct_sets(plain)
+    links = minhash.similar_links(plain, firsts, sim_hash_candidates(plain, firsts))
+    roots = minhash.classes(plain, firsts, links)
+    best = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "mark")).alias("x")).select("x.mark", "x.least")
+    own = plain.select("mark", "k", "h").join(best, "mark").filter(F.col("k").eqNullSafe(F.col("least")))
+    picked = own.groupBy("mark", "k").agg(F.min("h").alias("h")).select(F.col("k").alias("picked_key"), F.col("h").alias("picked_hash"))
+    match = docs[key].eqNullSafe(F.col("picked_key")) & (F.xxhash64(docs[text]) == F.col("picked_hash"))
+    kept = docs.join(picked, match, "left_semi")
+    each = Window.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(1))
+    return kept.withColumn(row, F.row_number().over(each)).filter(F.col(row) == 1).drop(row)
