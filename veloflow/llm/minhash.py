@@ -15,6 +15,7 @@ costs a comparison or so for each, pairs are never listed, and every pair of one
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -108,42 +109,63 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame, key: str, text: str, sets: Callable[[bytes], np.ndarray], extra: dict[str, Callable[[np.ndarray], int]] | None = None) -> DataFrame:
-    """A written table (k, row, mark, n, bands, members) with a row for each document, and a long for each of ``extra``.
+    """A written table (k, h, mark, n, bands) with a row for each document, and a long for each of ``extra``.
 
-    ``row`` numbers the rows, ``mark`` is a number of the set, ``n`` its size. Documents are shingled here and nowhere else.
+    ``h`` is the text's hash, ``mark`` a number of its set and ``n`` the set's size. The sets themselves are not stored.
     """
     more = extra or {}
-    keyed = docs.select(F.col(key).alias("k"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    tail = "mark long, n int, bands array<long>, members array<long>" + "".join(f", {name} long" for name in more)
+    keyed = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
+    tail = "mark long, n int, bands array<long>" + "".join(f", {name} long" for name in more)
     schema = T.StructType([*keyed.schema.fields[:2], *T._parse_datatype_string(tail).fields])
 
-    def batch_of(batch: pa.RecordBatch, low: int, found: list[np.ndarray]) -> pa.RecordBatch:
-        has = [len(s) > 0 for s in found]
-        keys = iter(band_keys(np.array([sketch(s) for s in found if len(s)], np.uint64).reshape(-1, BINS)))
-        columns = [batch.column(0).slice(low, len(found)), batch.column(1).slice(low, len(found)), pa.array([mark_of(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int32())]
-        columns += [lists([next(keys) if h else np.zeros(0, np.int64) for h in has]), lists(found), *(pa.array([f(s) for s in found], pa.int64()) for f in more.values())]
-        return pa.RecordBatch.from_arrays(columns, schema.names)
-
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, found, held = 0, [], 0
+            marks, sizes, sketches, others = [], [], [], {name: [] for name in more}
             for t in batch.column(2):
-                found.append(sets(t.as_py()))
-                held += len(found[-1])
-                if held >= BATCH:
-                    yield batch_of(batch, low, found)
-                    low, found, held = low + len(found), [], 0
-            yield batch_of(batch, low, found)
+                found = sets(t.as_py())
+                marks.append(mark_of(found))
+                sizes.append(len(found))
+                if len(found):
+                    sketches.append(sketch(found))
+                for name, f in more.items():
+                    others[name].append(f(found))
+            keys = iter(band_keys(np.array(sketches, np.uint64).reshape(-1, BINS)))
+            bands = lists([next(keys) if n else np.zeros(0, np.int64) for n in sizes])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.int64()), pa.array(sizes, pa.int32()), bands, *(pa.array(v, pa.int64()) for v in others.values())], schema.names)
 
     return written(keyed.mapInArrow(computed, schema), "sketches")
 
 
 def distinct_sets(sketches: DataFrame) -> DataFrame:
-    """(mark, row, least): one row of each distinct set, and the least key of its documents."""
-    return written(sketches.groupBy("mark").agg(F.min("row").alias("row"), F.min("k").alias("least")), "sets")
+    """(mark, h, least): one text of each distinct set, and the least key of its documents."""
+    return written(sketches.groupBy("mark").agg(F.min("h").alias("h"), F.min("k").alias("least")), "sets")
+
+
+def full_sets(docs: DataFrame, text: str, sets: Callable[[bytes], np.ndarray], firsts: DataFrame, marks: DataFrame) -> DataFrame:
+    """A written table (mark, bands, members) of the sets in ``marks``; one text of each is read and shingled again.
+
+    The documents meet the hashes of the texts wanted in a shuffle, at every size alike; no set is stored that nothing asks for.
+    """
+    wanted = written(firsts.join(marks, "mark", "left_semi").select("h"), "wanted")
+    texts = docs.select(F.xxhash64(text).alias("h"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")).join(wanted.hint("shuffle_hash"), "h", "left_semi").distinct()
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["mark", "bands", "members"]
+        pack = lambda found: pa.RecordBatch.from_arrays([pa.array([mark_of(s) for s in found], pa.int64()), lists(list(band_keys(np.array([sketch(s) for s in found], np.uint64).reshape(-1, BINS)))), lists(found)], names)
+        for batch in batches:
+            found, held = [], 0
+            for t in batch.column(1):
+                found.append(sets(t.as_py()))
+                held += len(found[-1])
+                if held >= BATCH:
+                    yield pack(found)
+                    found, held = [], 0
+            yield pack(found)
+
+    return written(texts.mapInArrow(shingled, "mark long, bands array<long>, members array<long>"), "compared-sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar in full."""
 
     def true(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +174,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yes = pa.array([similar(x[i].values.to_numpy(), y[i].values.to_numpy()) for i in range(batch.num_rows)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(yes), batch.column(1).filter(yes)], ["a", "b"])
 
-    ends = pairs.select(F.col("a").alias("mark")).unionAll(pairs.select(F.col("b").alias("mark"))).distinct()
-    needed = written(sets.join(ends, "mark", "left_semi").select("mark", "members"), "compared-sets")
-    left, right = (needed.select(F.col("mark").alias(c), F.col("members").alias(f"of_{c}")) for c in "ab")
+    left, right = (full.select(F.col("mark").alias(c), F.col("members").alias(f"of_{c}")) for c in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(true, "a long, b long")
 
 
@@ -214,18 +234,19 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(held)
 
 
-def similar_links(sketches: DataFrame, firsts: DataFrame, more: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+def similar_links(docs: DataFrame, text: str, sets: Callable[[bytes], np.ndarray], sketches: DataFrame, firsts: DataFrame, more: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between marks of similar sets, enough to connect all that such links of one bucket connect.
 
     ``more`` holds candidate pairs (a, b) from elsewhere; they are confirmed in full together with the stars' edges.
     """
-    sets = sketches.filter("n > 0").join(firsts.select("row"), "row", "left_semi")
-    keyed = written(sets.select(F.explode("bands").alias("key"), "mark", "n"), "keys")
+    own = sketches.filter("n > 0").dropDuplicates(["mark", "h"]).join(firsts.select("mark", "h"), ["mark", "h"], "left_semi")
+    keyed = written(own.select(F.explode("bands").alias("key"), "mark", "n"), "keys")
     shared = keyed.groupBy("key").agg(F.min("mark").alias("centre"), F.count(F.lit(1)).alias("width")).filter("width > 1")
     buckets = written(keyed.join(shared, "key"), "buckets")
     edges = buckets.filter("mark <> centre").select(F.col("centre").alias("a"), F.col("mark").alias("b"))
     star = written((edges if more is None else edges.unionAll(more.select("a", "b"))).distinct(), "stars")
-    first = written(confirmed(star, sets), "star-links")
+    full = full_sets(docs, text, sets, firsts, star.select(F.col("a").alias("mark")).unionAll(star.select(F.col("b").alias("mark"))))
+    first = written(confirmed(star, full), "star-links")
 
     roots = written(components(first, "a", "b"), "star-roots")
     placed = buckets.filter("mark <> centre and width > 2").join(roots, F.col("mark") == F.col("node"), "left").select("key", "mark", "n", F.coalesce("root", "mark").alias("comp"))
@@ -235,12 +256,11 @@ def similar_links(sketches: DataFrame, firsts: DataFrame, more: DataFrame | None
     own = F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int")
     pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.xxhash64("key", F.least(i, own), F.greatest(i, own)).alias("grp"), F.when(i == own, -1).when(own < i, 0).otherwise(1).alias("side")))
     dealt = placed.join(parts, "key").select(F.explode(pair).alias("p"), "key", "comp", "mark").select("p.*", "key", "comp", "mark")
-    full = dealt.join(sets.select("mark", "bands", "members"), "mark").select("grp", "key", "side", "comp", "mark", "bands", "members")
-    across = full.repartition("grp").sortWithinPartitions("grp").mapInArrow(_across, "a long, b long")
+    across = dealt.join(full, "mark").select("grp", "key", "side", "comp", "mark", "bands", "members").repartition("grp").sortWithinPartitions("grp").mapInArrow(_across, "a long, b long")
     return written(first.unionAll(across), "links")
 
 
-def classes(sketches: DataFrame, firsts: DataFrame, links: DataFrame) -> DataFrame:
+def classes(firsts: DataFrame, links: DataFrame) -> DataFrame:
     """(mark, root, least, lead): the component of each distinct set, its least key, and the least key of the component."""
     joined = components(links, "a", "b")
     roots = firsts.join(joined, F.col("mark") == F.col("node"), "left").select("mark", "least", F.coalesce("root", "mark").alias("root"))
@@ -255,9 +275,10 @@ def min_hash_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text"
     have the empty set, link with nothing, and are components of their own. A null key is a component's id only where the
     component has no other; such a row is kept. Other columns are ignored. An empty table gives no rows.
     """
-    sketches = sketched(docs, key, text, lambda t: shingles(t, width))
+    sets = partial(shingles, width=width)
+    sketches = sketched(docs, key, text, sets)
     firsts = distinct_sets(sketches)
-    found = classes(sketches, firsts, similar_links(sketches, firsts)).select("mark", "lead")
+    found = classes(firsts, similar_links(docs, text, sets, sketches, firsts)).select("mark", "lead")
     joined = sketches.select("k", "mark", "n").join(found, "mark")
     lead = F.when(F.col("n") > 0, F.col("lead")).otherwise(F.col("k"))
     name = fresh(docs, "component_id") if key == "component_id" else "component_id"

@@ -7,8 +7,6 @@ are candidates only: documents are linked where their sets of shingles have a Ja
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,9 +30,9 @@ def sim_hash(members: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(members), bitorder="little").view(np.int64)[0])
 
 
-def sim_hash_candidates(sketches: DataFrame, firsts: DataFrame) -> DataFrame:
+def sim_hash_candidates(sketches: DataFrame) -> DataFrame:
     """Pairs (a, b) of marks: those of one fingerprint against its least mark, and least marks of fingerprints that link."""
-    prints = sketches.filter("n > 0").join(firsts.select("row"), "row", "left_semi").select("print", "mark")
+    prints = sketches.filter("n > 0").select("print", "mark").distinct()
     least = prints.groupBy("print").agg(F.min("mark").alias("centre"))
     same = prints.join(least, "print").filter("mark <> centre").select(F.col("centre").alias("a"), F.col("mark").alias("b"))
     of = [least.select(F.col("print").alias(f"print_{c}"), F.col("centre").alias(c)) for c in "ab"]
@@ -48,16 +46,15 @@ def keep_one_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     Shingles are five lower-cased words; texts without words are equal. All columns stay. A component without a key (all
     null) keeps a row with the smallest mark. Of repeated keys with equal sets one row stays.
     """
-    place, row = fresh(docs, "row_place"), fresh(docs, "row_no")
-    sketches = minhash.sketched(docs.withColumn(place, F.struct(F.col(key).alias("k"), F.xxhash64(text).alias("h"))), place, text, partial(shingles), {"print": sim_hash})
-    plain = sketches.select(F.col("k.k").alias("k"), F.col("k.h").alias("h"), "row", "mark", "n", "bands", "members", "print")
-    firsts = minhash.distinct_sets(plain)
-    links = minhash.similar_links(plain, firsts, sim_hash_candidates(plain, firsts))
-    roots = minhash.classes(plain, firsts, links)
+    row = fresh(docs, "row_no")
+    sketches = minhash.sketched(docs, key, text, shingles, {"print": sim_hash})
+    firsts = minhash.distinct_sets(sketches)
+    links = minhash.similar_links(docs, text, shingles, sketches, firsts, sim_hash_candidates(sketches))
+    roots = minhash.classes(firsts, links)
     best = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "mark")).alias("x")).select("x.mark", "x.least")
-    own = plain.select("mark", "k", "h").join(best, "mark").filter(F.col("k").eqNullSafe(F.col("least")))
+    own = sketches.select("mark", "k", "h").join(best, "mark").filter(F.col("k").eqNullSafe(F.col("least")))
     picked = own.groupBy("mark", "k").agg(F.min("h").alias("h")).select(F.col("k").alias("picked_key"), F.col("h").alias("picked_hash"))
     match = docs[key].eqNullSafe(F.col("picked_key")) & (F.xxhash64(docs[text]) == F.col("picked_hash"))
-    kept = docs.join(picked, match, "left_semi")
+    kept = docs.join(picked.hint("shuffle_hash"), match, "left_semi")
     each = Window.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(1))
     return kept.withColumn(row, F.row_number().over(each)).filter(F.col(row) == 1).drop(row)
