@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..ml import preprocessing as prep
 from ..ml import training as ml
 from ..ml.inference import imputation_report, impute, predict_volumes, prediction_counts
+from ..ml.models import get_model
 from ..operators import calibration as cal
 from ..operators import metrics as met
 from ..operators.columns import rename
@@ -488,6 +490,48 @@ def train_boosting(spark, sf):
     return _fit_metrics(spark, sf, "Gradient Boosting", **SMALL_BOOST)
 
 
+SPLIT_FEATURES = ("l_quantity", "l_discount", "l_tax")
+
+
+@query(
+    "poisson_split",
+    f"""WITH long AS (SELECT l_linenumber::DOUBLE AS y, unnest([0, 1, 2]) AS feature, unnest([l_quantity, l_discount, l_tax])::DOUBLE AS x FROM lineitem),
+    whole AS (SELECT count(*) AS n, sum(l_linenumber)::DOUBLE AS s FROM lineitem),
+    cut AS (SELECT feature, x, sum(count(*)) OVER o AS ln, sum(sum(y)) OVER o AS ls FROM long GROUP BY feature, x WINDOW o AS (PARTITION BY feature ORDER BY x)),
+    gained AS (SELECT *, ls * ln(ls / ln) + (s - ls) * ln((s - ls) / (n - ln)) - s * ln(s / n) AS gain FROM cut, whole WHERE ln < n)
+    SELECT feature::INTEGER AS feature, x AS threshold, round(ls / ln, 6) AS left_mean, round((s - ls) / (n - ln), 6) AS right_mean, round(gain, 4) AS gain
+    FROM gained ORDER BY round(gain, 6) DESC, feature, x LIMIT 1""",
+)
+def poisson_split(spark, sf):
+    """The first split of a tree that lowers the Poisson deviance of the line number most."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("double").alias("label"), *(F.col(c).cast("double").alias(c) for c in SPLIT_FEATURES))
+    vectors = VectorAssembler(inputCols=list(SPLIT_FEATURES), outputCol="features").transform(lines)
+    model = get_model("Random Forest", criterion="poisson", numTrees=1, bootstrap=False, maxDepth=1, maxBins=64).fit(vectors)
+    tree = model.trees[0]
+    rows = [(*tree.splits[n], tree.values.get(2 * n), tree.values.get(2 * n + 1), tree.gains[n]) for n in tree.splits]
+    return rounded(rounded(spark.createDataFrame(rows, "feature int, threshold double, left_mean double, right_mean double, gain double"), 6, "left_mean", "right_mean"), 4, "gain")
+
+
+@query("train_poisson_forest")
+def train_poisson_forest(spark, sf):
+    return _fit_metrics(spark, sf, "Random Forest", transform="none", criterion="poisson", numTrees=8, maxDepth=5)
+
+
+@query("train_huber_boosting")
+def train_huber_boosting(spark, sf):
+    return _fit_metrics(spark, sf, "Gradient Boosting", lossType="huber", maxIter=4, stepSize=0.5)
+
+
+@query("train_stopped_boosting")
+def train_stopped_boosting(spark, sf):
+    return _fit_metrics(spark, sf, "Gradient Boosting", nIterNoChange=2, maxIter=8, stepSize=0.5)
+
+
+@query("train_ada_boost")
+def train_ada_boost(spark, sf):
+    return _fit_metrics(spark, sf, "AdaBoost Regression", maxIter=4)
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     df = _learning_table(spark, sf)

@@ -13,6 +13,8 @@ from pyspark.ml.regression import (
 )
 from pyspark.ml.tuning import ParamGridBuilder
 
+from .trees import AdaBoostR2, CriterionForest, StoppedBoosting
+
 # Model name -> (estimator, parameters).
 MODELS: dict[str, tuple[type[Estimator], dict[str, Any]]] = {
     "Linear Regression": (LinearRegression, {}),
@@ -22,6 +24,13 @@ MODELS: dict[str, tuple[type[Estimator], dict[str, Any]]] = {
     "ElasticNet Regression": (LinearRegression, {"regParam": 1.0, "elasticNetParam": 0.5, "standardization": False}),
     "Random Forest": (RandomForestRegressor, {"numTrees": 128, "minInstancesPerNode": 16, "maxDepth": 30, "seed": 42}),
     "Gradient Boosting": (GBTRegressor, {"maxIter": 128, "minInstancesPerNode": 16, "maxDepth": 3, "stepSize": 0.1, "seed": 42}),
+    "AdaBoost Regression": (AdaBoostR2, {"maxIter": 50, "seed": 42}),
+}
+
+# Parameters that the solver above does not have -> the one that does, with its defaults.
+SPECIAL: dict[str, tuple[set[str], type[Estimator], dict[str, Any]]] = {
+    "Random Forest": ({"criterion", "minSamplesSplit"}, CriterionForest, {"numTrees": 128, "minSamplesSplit": 32, "seed": 42}),
+    "Gradient Boosting": ({"nIterNoChange", "validationFraction", "tol", "alpha"}, StoppedBoosting, {"maxIter": 128, "nIterNoChange": 10, "minInstancesPerNode": 16, "maxDepth": 3, "stepSize": 0.1, "seed": 42}),
 }
 
 # Model name -> parameter -> values to try.
@@ -46,6 +55,8 @@ def get_model(name: str, **overrides: Any) -> Estimator:
     if name not in MODELS:
         raise KeyError(f"Unknown model {name!r}; available: {list_models()}")
     kind, defaults = MODELS[name]
+    if name in SPECIAL and (SPECIAL[name][0] & set(overrides) or overrides.get("lossType") == "huber"):
+        _, kind, defaults = SPECIAL[name]
     return kind(**{**defaults, **overrides})
 
 

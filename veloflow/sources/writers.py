@@ -13,6 +13,7 @@ from ..functions.numeric import finite_columns
 from ..functions.order_stats import quantiles
 from ..ml.training import TrainedModel
 from ..ml.preprocessing import FeaturePrep, TargetTransform
+from ..ml.trees import TreeModel
 from ..operators.columns import STATION_CANDIDATES, keep_columns
 from ..operators.outliers import Fences
 from ..operators.ranking import SEVERITY_RANK, STATION_SEVERITY_RANK, severity_rank, sort_by_severity
@@ -281,7 +282,10 @@ def load_calibrator(spark: SparkSession, path: str):
 
 def save_model(trained: TrainedModel, spark: SparkSession, path: str) -> str:
     """Spark ML model plus a sidecar with features, scaler numbers and target transform."""
-    trained.model.write().overwrite().save(f"{path}/model")
+    if isinstance(trained.model, TreeModel):
+        spark.createDataFrame([(trained.model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
+    else:
+        trained.model.write().overwrite().save(f"{path}/model")
     side = {
         "name": trained.name,
         "class": f"{type(trained.model).__module__}.{type(trained.model).__name__}",
@@ -303,9 +307,12 @@ def load_model(spark: SparkSession, path: str) -> TrainedModel:
 
     side = json.loads(spark.read.text(f"{path}/sidecar").first()["value"])
     kind = side["class"].rsplit(".", 1)[-1]
-    if kind not in MODEL_CLASSES:
+    if kind == "TreeModel":
+        model = TreeModel.from_json(spark.read.text(f"{path}/model", wholetext=True).first()["value"])
+    elif kind in MODEL_CLASSES:
+        model = getattr(regression, kind).load(f"{path}/model")
+    else:
         raise ValueError(f"Unknown model class: {kind}")
-    model = getattr(regression, kind).load(f"{path}/model")
     return TrainedModel(
         side["name"],
         model,
