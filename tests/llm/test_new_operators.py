@@ -11,7 +11,7 @@ import zlib
 import numpy as np
 import pytest
 
-from veloflow.llm import clustering, minhash, repair
+from veloflow.llm import clustering, minhash, repair, secrets
 
 SF = "/root/testdata/sf0.001"
 
@@ -249,3 +249,20 @@ def test_tournament_is_the_nearest():
     centroids[9] = centroids[3]
     far = ((points[:, None, :] - centroids[None]) ** 2).sum(2)
     assert (clustering.Tournament(centroids).nearest(points) == far.argmin(1)).all()
+
+
+# 2 secret scans: constants that are handed on many times, and padded values
+
+
+def test_constants_are_handed_on_in_linear_time():
+    doubled = "token = 'q8Fh2kLm9'\n" + "token = token + token\n" * 10_000
+    assert (9, 18, "literal") in secrets.spans(doubled) or any(s <= 9 and 18 <= e for s, e, _ in secrets.spans(doubled))
+    chain = "a0 = 'Zx9#kQ2!vv'\n" + "".join(f"a{i} = a{i - 1}\n" for i in range(1, 5000)) + "client_secret_value = a4999\n"
+    assert [chain[s:e] for s, e, k in secrets.spans(chain) if k == "literal"] == ["Zx9#kQ2!vv"]
+    assert len(secrets.assignments(doubled)) == 10_001
+
+
+@pytest.mark.parametrize("text", ["SECRET_KEY=YWJjZGVmZ2hpams=", "db_pwd=YWJjZGVmZ2hpams=", "x\ndb_pwd = YWJjZGVmZ2hpams==\ny"])
+def test_padding_belongs_to_the_value(text):
+    literal = text[text.index("YWJ") :].split("\n")[0]
+    assert any(literal in text[s:e] for s, e, _ in secrets.spans(text)) and "YWJ" not in secrets.masked(text) and "[SECRET]" in secrets.masked(text)

@@ -95,17 +95,24 @@ def entropy(literal: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(literal).values()) if n else 0.0
 
 
-def score(name: str, literal: str) -> float:
-    """Sensitivity of the name plus how unlike a word the literal is; zero for short literals and placeholders."""
-    weight = sensitivity(name)
+def takes_phrases(name: str) -> bool:
+    return any(p in flat_name(name) for p in PHRASES)
+
+
+def score_by(weight: float, phrases: bool, literal: str) -> float:
+    """Weight of a name plus how unlike a word the literal is; zero for short literals and placeholders."""
     if not weight or len(literal) < MIN_LENGTH or PLACEHOLDER.match(literal):
         return 0.0
-    if " " in literal.strip() and not SCHEME.fullmatch(literal.strip()) and not any(p in flat_name(name) for p in PHRASES):
+    if not phrases and " " in literal.strip() and not SCHEME.fullmatch(literal.strip()):
         return 0.0
     kinds = sum(bool(re.search(k, literal)) for k in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
     return weight + 0.5 * (kinds - 1) + min(entropy(literal), 4.0) / 4
 
 
+def score(name: str, literal: str) -> float:
+    return score_by(sensitivity(name), takes_phrases(name), literal)
+
+
 def _after_brackets(lexemes: list[re.Match[str]], i: int) -> int:
     """The lexeme after a closing bracket and array sizes: of ``config["name"] =`` and ``name[32] =`` the sign."""
     if i < len(lexemes) and lexemes[i]["sign"] == "]":
@@ -156,59 +163,89 @@ def _signs(lexemes: list[re.Match[str]], i: int) -> list[int]:
     return [after] if _is_type(lexemes[at + 1 : after]) else [at, after]
 
 
-def pairs(text: str) -> list[tuple[str, str, int, int]]:
-    """(name, literal, start, end) with constants handed on: a literal comes once for each name that it reaches.
+def _padded(text: str, lexemes: list[re.Match[str]], j: int) -> int | None:
+    """Where a word ends with the ``=`` that pad it: they follow at once and nothing follows them."""
+    at = j + 1
+    if at >= len(lexemes) or lexemes[at]["sign"] not in ("=", "==") or lexemes[at].start() != lexemes[j].end():
+        return None
+    end = lexemes[at].end()
+    return end if end == len(text) or text[end] in " \t\r\n,;)]}\"'" else None
+
+
+def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[int]]]:
+    """(name, literals, places of earlier assignments that it takes over) of each assignment, a literal being (text, start, end).
 
-    Strings joined by ``+`` belong to one assignment and each is a literal of its own. Names hand on what was assigned to
-    them before, in any number of steps; a name's later assignment replaces the earlier one.
+    Strings joined by ``+`` belong to one assignment and each is a literal of its own. A name that is taken over stands for
+    its last assignment before. Literals are not copied from one assignment to the next, so this is linear in the text.
     """
-    known: dict[str, list[tuple[str, int, int]]] = {}
-    found: list[tuple[str, str, int, int]] = []
+    known: dict[str, int] = {}
+    found: list[tuple[str, list[tuple[str, int, int]], list[int]]] = []
     lexemes = [m for m in LEX.finditer(text) if m.lastgroup != "other"]
     i = 0
     while i < len(lexemes):
         m = lexemes[i]
         if m["tag"]:
-            found.append((m[3], m["inner"], m.start("inner"), m.end("inner")))
+            found.append((m[3], [(m["inner"], m.start("inner"), m.end("inner"))], []))
             i += 1
             continue
         name = m["word"] or (m["string"][1:-1] if m["string"] else None)
         if not name:
             i += 1
             continue
-        quoted = bool(m["string"])
         values: list[tuple[str, int, int]] = []
+        taken: list[int] = []
         end = i + 1
         for sign in _signs(lexemes, i):
             j, more = sign + 1, True
             while more and j < len(lexemes):
                 v = lexemes[j]
+                padded = _padded(text, lexemes, j) if v["word"] else None
                 if v["string"]:
                     values.append((v["string"][1:-1], v.start() + 1, v.end() - 1))
+                elif padded is not None:
+                    values.append((text[v.start() : padded], v.start(), padded))
+                    j += 1
                 elif v["word"] and v["word"] in known:
-                    values += known[v["word"]]
+                    if known[v["word"]] not in taken[-1:]:
+                        taken.append(known[v["word"]])
                 elif v["word"] and (j + 1 >= len(lexemes) or lexemes[j + 1]["sign"] not in ("(", *SIGNS)):
                     values.append((v["word"], v.start(), v.end()))
                 else:
                     break
                 more = j + 1 < len(lexemes) and lexemes[j + 1]["sign"] == "+"
                 j += 2
-            if values and end == i + 1:
+            if (values or taken) and end == i + 1:
                 end = max(end, j - 1)
-        if values:
-            found += [(name, *v) for v in values]
-            if not quoted:
-                known[name] = values
+        if values or taken:
+            found.append((name, values, taken))
+            if not m["string"]:
+                known[name] = len(found) - 1
         i = end
     return found
 
 
 def literal_spans(text: str, least: float = MIN_SCORE) -> list[tuple[int, int, str]]:
-    """Spans of literals that a sensitive name reaches with a score of ``least`` or more, each once."""
+    """Spans of literals that a sensitive name reaches with a score of ``least`` or more, each once.
+
+    What matters of a name is its weight and whether it takes phrases. These few facts run from each assignment to those it
+    takes over, last ones first, in any number of steps.
+    """
     low = text.lower()
     if not any(c in text for c in "=:<") or not any(part in low for part in SPELLINGS):
         return []
-    return sorted({(s, e, "literal") for name, literal, s, e in pairs(text) if score(name, literal) >= least})
+    found = assignments(text)
+    reached: list[set[tuple[float, bool]]] = [set() for _ in found]
+    spans_found: set[tuple[int, int, str]] = set()
+    for i in range(len(found) - 1, -1, -1):
+        name, values, taken = found[i]
+        weight = sensitivity(name)
+        if weight:
+            reached[i].add((weight, takes_phrases(name)))
+        for j in taken:
+            reached[j] |= reached[i]
+        if reached[i]:
+            spans_found |= {(s, e, "literal") for literal, s, e in values if any(score_by(w, p, literal) >= least for w, p in reached[i])}
+    return sorted(spans_found)
 
 
 def spans(text: str) -> list[tuple[int, int, str]]:
