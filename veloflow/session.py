@@ -27,23 +27,30 @@ def local_session(cores: int | str = 8, app: str = "veloflow", **conf: str) -> S
     return builder.getOrCreate()
 
 
+def local_folder(spark: SparkSession, label: str) -> str:
+    """A new folder on this machine, for a local master only: on a cluster executors would not see it."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix=label)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset, as in tests, a folder made for this session is set, whatever the master.
+    Where that is unset, as in tests, a folder made for this session is set; only a local master may leave it unset.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            folder = tempfile.mkdtemp(prefix="veloflow-ckpt-")
+            folder = local_folder(df.sparkSession, "veloflow-ckpt-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path that nothing else uses, in the folder of ``spark.checkpoint.dir``; where that is unset, a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="veloflow-")
+    """A path that nothing else uses, in the folder of ``spark.checkpoint.dir``; where that is unset (local master), a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or local_folder(spark, "veloflow-")
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
