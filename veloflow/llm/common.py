@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veloflow.session import local_folder
+
 #: Words are runs of everything but these white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a folder made once per session and set as such."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset (tests, a local master), a folder made once per session and set as such."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.veloflow.llm.dir", None)
     if folder is None:
         context_dir = spark.sparkContext.getCheckpointDir()
-        folder = context_dir or tempfile.mkdtemp(prefix="veloflow-shared-")
+        folder = context_dir or local_folder(spark, "veloflow-shared-")
         spark.conf.set("spark.veloflow.llm.dir", folder)
     return folder.rstrip("/")
 
