@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.geo import utm32_x, utm32_y
+from ..functions.shapes import shape_centroid
 from ..ml.inference import predict_at_locations
 from ..operators import spatial as sp
+from ..session import scratch_path
+from ..sources import readers, writers
 from . import stand_ins as t
 from .registry import query, rounded
 
@@ -211,3 +214,105 @@ def unit_within(spark, sf):
 def edge_unit_within(spark, sf):
     edges = t.edge(spark, sf).select("edge_id", "line")
     return sp.join_lines_to_units(edges, t.tile(spark, sf)).select("edge_id", "ars")
+
+
+# --- geometry of several parts, read from text -------------------------------------------------
+
+
+def _written_areas(spark, sf):
+    """Areas written as text, as a file with geometry is delivered, and read back."""
+    areas = t.area(spark, sf).withColumn("ARS", F.format_string("%012d", "k")).drop("k")
+    path = writers.write_predictions(areas, scratch_path(spark, "areas") + ".csv", "csv")
+    return readers.read_municipalities(spark, path).withColumn("k", F.col("ars").cast("bigint"))
+
+
+def _centroids(x0: str = "x0", x9: str = "x9", y0: str = "y0", y9: str = "y9") -> str:
+    """Centroids of the areas from their rectangles."""
+    w = f"sgn * ({x9} - {x0}) * ({y9} - {y0})"
+    return f"SELECT k, sum({w} * ({x0} + {x9}) / 2) / sum({w}) AS px, sum({w} * ({y0} + {y9}) / 2) / sum({w}) AS py FROM area_rect GROUP BY k"
+
+
+@query(
+    "area_text",
+    t.sql(
+        f"""SELECT c.k, CASE WHEN c.k % 2 = 0 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind, r.n_parts, r.n_rings,
+                   round(c.px, 8) AS x, round(c.py, 8) AS y
+            FROM ({_centroids()}) c JOIN (SELECT k, count(*) FILTER (WHERE sgn = 1) AS n_parts, count(*) AS n_rings FROM area_rect GROUP BY k) r
+            ON c.k = r.k""",
+        "area_rect",
+    ),
+)
+def area_text(spark, sf):
+    """Polygons with holes and several parts as text and back; centroids by surface."""
+    s = F.col("shape")
+    out = _written_areas(spark, sf).withColumn("_c", shape_centroid(s))
+    counts = (F.size(s["parts"]).cast("bigint").alias("n_parts"), F.size("rings").cast("bigint").alias("n_rings"))
+    return rounded(out.select("k", s["kind"].alias("kind"), *counts, F.col("_c.x").alias("x"), F.col("_c.y").alias("y")), 8)
+
+
+@query(
+    "area_unit_within",
+    t.sql(f"SELECT p.k, min(u.ars) AS unit FROM ({_centroids()}) p LEFT JOIN tile u ON {WITHIN_TILE} GROUP BY 1", "area_rect", "tile"),
+)
+def area_unit_within(spark, sf):
+    """Areas go to the unit their centroid lies in."""
+    areas = _written_areas(spark, sf).select("k", "shape")
+    return sp.join_lines_to_units(areas, t.tile(spark, sf), line="shape", output_key="unit").select("k", "unit")
+
+
+@query(
+    "area_center_distance",
+    t.sql(
+        f"""SELECT k, round(min(sqrt((a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py))), 3) AS dist_to_center_m
+            FROM ({_centroids(_x('x0'), _x('x9'), _y('y0'), _y('y9'))}) a, ({POINT_M}) b GROUP BY k""",
+        "area_rect",
+        "counter",
+    ),
+)
+def area_center_distance(spark, sf):
+    """Distance of the projected centroid of each area to the nearest place."""
+    areas = _written_areas(spark, sf).select("k", "shape")
+    places = t.counter(spark, sf).select("longitude", "latitude")
+    return rounded(sp.line_distance_to_nearest(areas, places, line="shape").select("k", "dist_to_center_m"), 3)
+
+
+@query(
+    "unit_of_multi_area",
+    t.sql(
+        """SELECT k, min(unit) AS unit FROM (
+             SELECT c.k, r.k AS unit FROM counter c LEFT JOIN area_rect r ON c.longitude BETWEEN r.x0 AND r.x9 AND c.latitude BETWEEN r.y0 AND r.y9
+               AND r.sgn = 1 AND NOT EXISTS (SELECT 1 FROM area_rect h WHERE h.k = r.k AND h.sgn = -1
+                 AND c.longitude > h.x0 AND c.longitude < h.x9 AND c.latitude > h.y0 AND c.latitude < h.y9)) GROUP BY k""",
+        "counter",
+        "area_rect",
+    ),
+)
+def unit_of_multi_area(spark, sf):
+    """J15 on read geometry: locations in areas of several parts with holes."""
+    units = _written_areas(spark, sf).select(F.col("k").alias("unit_key"), "rings")
+    return sp.join_units(t.counter(spark, sf), units, key="unit_key", output_key="unit").select("k", "unit")
+
+
+EDGE_PARTS_M = f"""SELECT edge_id, base_id, count, {_x('lon1 + shift')} AS x1, {_y('lat1')} AS y1, {_x('lon2 + shift')} AS x2, {_y('lat2')} AS y2
+                   FROM edge, (VALUES (0), (0.003)) s (shift) WHERE shift = 0 OR edge_id % 2 = 0"""
+
+
+@query(
+    "nearest_multi_line",
+    t.sql(
+        f"""SELECT c.counter_id, round(n.d, 4) AS nearest_edge_dist_m, n.base_id, n.count FROM counter c LEFT JOIN
+              (SELECT *, row_number() OVER (PARTITION BY counter_id ORDER BY d, edge_id) AS rn FROM ({_pairs(POINT_M, EDGE_PARTS_M)}) WHERE d <= {LIMIT}) n
+            ON c.counter_id = n.counter_id AND n.rn = 1""",
+        "counter",
+        "edge",
+    ),
+)
+def nearest_multi_line(spark, sf):
+    """Edges of two parts, written as text and read back; the gap between the parts is no edge."""
+    line = F.col("line")
+    beside = F.transform(line, lambda v: F.struct((v["x"] + 0.003).alias("x"), v["y"].alias("y")))
+    gap = F.array(F.lit(None).cast("struct<x:double,y:double>"))
+    edges = t.edge(spark, sf).withColumn("line", F.when(F.col("edge_id") % 2 == 0, F.concat(line, gap, beside)).otherwise(line))
+    path = writers.write_predictions(edges, scratch_path(spark, "multi") + ".csv", "csv")
+    out = sp.match_nearest_edge(t.counter(spark, sf), readers.read_traffic_volumes(spark, path), LIMIT, ["base_id", "count"])
+    return rounded(out.select("counter_id", "nearest_edge_dist_m", "base_id", "count"), 4)

@@ -30,6 +30,12 @@ CTE: dict[str, str] = {
                (80000 + (p_partkey * 6151) % 10000 + (p_partkey % 7 - 3) * 20) / 10000 AS lon2,
                (500000 + (p_partkey * 3571) % 10000 + (p_partkey % 5 - 2) * 20) / 10000 AS lat2
         FROM part""",
+    # rectangles that each customer's area adds (1) or leaves out (-1)
+    "area_rect": """
+        SELECT c_custkey AS k, sgn, (X + dx0) / 10000 AS x0, (X + dx9) / 10000 AS x9, (Y + dy0) / 10000 AS y0, (Y + dy9) / 10000 AS y9
+        FROM (SELECT c_custkey, 80000 + (c_custkey * 6151) % 10000 AS X, 500000 + (c_custkey * 3571) % 10000 AS Y FROM customer),
+             (VALUES (1, 0, 200, 0, 200, 1), (-1, 20, 80, 20, 80, 3), (1, 300, 400, 0, 100, 2)) r (sgn, dx0, dx9, dy0, dy9, every)
+        WHERE c_custkey % every = 0""",
     # raw infrastructure class per edge, one class in nine missing
     "edge_class": """
         SELECT p_partkey AS edge_id, CAST(p_partkey // 2 AS BIGINT) AS base_id,
@@ -316,6 +322,21 @@ def tile(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "nation").select(key.alias("ars"), F.col("n_name").alias("name"), rings.alias("rings"))
 
 
+def area(spark: SparkSession, sf: str) -> DataFrame:
+    """A square per customer, each third with a hole off its middle, each second with a smaller square beside it."""
+    c = F.col("c_custkey")
+    x, y = F.lit(80000) + (c * 6151) % 10000, F.lit(500000) + (c * 3571) % 10000
+
+    def square(dx: int, dy: int, side: int) -> Column:
+        corners = ((0, 0), (side, 0), (side, side), (0, side), (0, 0))
+        return F.array(*[F.struct(((x + dx + a) / 10000).alias("x"), ((y + dy + b) / 10000).alias("y")) for a, b in corners])
+
+    first = F.when(c % 3 == 0, F.array(square(0, 0, 200), square(20, 20, 60))).otherwise(F.array(square(0, 0, 200)))
+    parts = F.when(c % 2 == 0, F.array(first, F.array(square(300, 0, 100)))).otherwise(F.array(first))
+    kind = F.when(c % 2 == 0, "MULTIPOLYGON").otherwise("POLYGON")
+    return table(spark, sf, "customer").select(c.alias("k"), F.struct(kind.alias("kind"), parts.alias("parts")).alias("shape"))
+
+
 def place(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("c_custkey")
     return table(spark, sf, "customer").select(

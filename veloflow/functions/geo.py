@@ -1,6 +1,6 @@
 """Map projections and planar geometry as native expressions.
 
-A line is ``ARRAY<STRUCT<x,y>>``. No geometry type and no Python is involved, so all of it
+A line is ``ARRAY<STRUCT<x,y>>``; a NULL vertex divides the parts of a line with several. No geometry type and no Python is involved, so all of it
 stays inside generated code.
 """
 
@@ -10,6 +10,8 @@ import math
 
 from pyspark.sql import Column, functions as F
 
+from .shapes import LINES, shape_from_wkt, shape_line
+
 EARTH_RADIUS_M = 6378137.0
 
 # GRS80 ellipsoid and transverse Mercator zone 32.
@@ -82,11 +84,17 @@ def project_line(line: Column, crs: str) -> Column:
 
     def vertex(p: Column) -> Column:
         x, y = project(p["x"], p["y"], crs)
-        return F.struct(x.alias("x"), y.alias("y"))
+        return F.when(p.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 
     return F.transform(line, vertex)
 
 
+def project_shape(shape: Column, crs: str) -> Column:
+    """Project each vertex of a shape given in degrees."""
+    parts = F.transform(shape["parts"], lambda p: F.transform(p, lambda r: project_line(r, crs)))
+    return F.when(shape.isNotNull(), F.struct(shape["kind"].alias("kind"), parts.alias("parts")))
+
+
 def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Distance from a point to a segment; a zero-length segment acts as a point."""
     dx, dy = x2 - x1, y2 - y1
@@ -104,7 +112,8 @@ def line_centroid(line: Column) -> Column:
 
     def segment(a: Column, b: Column) -> Column:
         length = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
-        return F.struct(length.alias("w"), ((a["x"] + b["x"]) / 2).alias("x"), ((a["y"] + b["y"]) / 2).alias("y"))
+        x, y = (a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2
+        return F.when(a.isNotNull() & b.isNotNull(), F.struct(length.alias("w"), x.alias("x"), y.alias("y")))
 
     def add(acc: Column, s: Column) -> Column:
         return F.struct(
@@ -119,28 +128,24 @@ def line_centroid(line: Column) -> Column:
             F.when(has_length, acc["y"] / acc["w"]).otherwise(first["y"]).alias("y"),
         )
 
-    segments = F.zip_with(F.slice(line, 1, rest), F.slice(line, 2, rest), segment)
+    segments = F.filter(F.zip_with(F.slice(line, 1, rest), F.slice(line, 2, rest), segment), lambda s: s.isNotNull())
     zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
     return F.when(n > 0, F.aggregate(segments, zero, add, finish))
 
 
 def line_to_wkt(line: Column) -> Column:
-    """``LINESTRING (x y, …)``; a missing line stays NULL."""
-    points = F.concat_ws(
-        ", ", F.transform(line, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
-    )
-    return F.when(line.isNotNull(), F.concat(F.lit("LINESTRING ("), points, F.lit(")")))
+    """``LINESTRING (x y, …)``, or MULTILINESTRING where there are several parts; a missing line stays NULL."""
 
+    def vertex(p: Column) -> Column:
+        return F.when(p.isNull(), F.lit("/")).otherwise(F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
 
-def line_from_wkt(text: Column) -> Column:
-    """Vertices of a LINESTRING text; anything else becomes NULL."""
-    body = F.regexp_extract(text, r"(?i)^\s*LINESTRING\s*\(\s*(.*?)\s*\)\s*$", 1)
+    points = F.concat_ws(", ", F.transform(line, vertex))
+    several = F.concat(F.lit("MULTILINESTRING (("), F.replace(points, F.lit(", /, "), F.lit("), (")), F.lit("))"))
+    one = F.concat(F.lit("LINESTRING ("), points, F.lit(")"))
+    return F.when(line.isNotNull(), F.when(F.exists(line, lambda p: p.isNull()), several).otherwise(one))
 
-    def vertex(pair: Column) -> Column:
-        parts = F.split(F.trim(pair), r"\s+")
-        return F.struct(
-            F.get(parts, F.lit(0)).try_cast("double").alias("x"),
-            F.get(parts, F.lit(1)).try_cast("double").alias("y"),
-        )
 
-    return F.when(F.length(body) > 0, F.transform(F.split(body, ","), vertex))
+def line_from_wkt(text: Column) -> Column:
+    """Vertices of a LINESTRING or MULTILINESTRING text; anything else becomes NULL."""
+    shape = shape_from_wkt(text)
+    return shape_line(F.when(shape["kind"].isin(*LINES), shape))

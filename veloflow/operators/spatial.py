@@ -15,9 +15,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.geo import line_centroid, project, project_line, segment_distance
+from ..functions.geo import line_centroid, project, project_line, project_shape, segment_distance
+from ..functions.shapes import shape_centroid
 from ..session import cut_lineage, reuse
 
 EDGE_COLUMNS = ("base_id", "count", "bicycle_infrastructure")
@@ -68,12 +69,13 @@ def _cover(segments: DataFrame, size: float) -> DataFrame:
 
 
 def line_segments(edges: DataFrame, columns: Sequence[str], line: str = "line", crs: str = "mercator") -> DataFrame:
-    """One row per segment of each line, projected; a single vertex gives a zero-length segment."""
+    """One row per segment of each line, projected; a single vertex gives a zero-length segment. Parts stay apart."""
     v = F.col(line)
     n = F.size(v)
     # a segment per pair of neighbours; a lone vertex pairs with itself
     starts, ends = F.slice(v, 1, F.greatest(n - 1, F.lit(1))), F.slice(v, F.least(n, F.lit(2)), F.greatest(n - 1, F.lit(1)))
     pairs = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = F.filter(pairs, lambda s: s["a"].isNotNull() & s["b"].isNotNull())
     rows = edges.where(n > 0).select(*columns, F.explode(pairs).alias("_s"))
     x1, y1 = project(F.col("_s.a.x"), F.col("_s.a.y"), crs)
     x2, y2 = project(F.col("_s.b.x"), F.col("_s.b.y"), crs)
@@ -93,6 +95,13 @@ def _with_point(df: DataFrame, point: Column, x: str, y: str) -> DataFrame:
     return df.select("*", F.inline(F.array(point)).alias(x, y))
 
 
+def _centroid(df: DataFrame, name: str, crs: str = "plane") -> Column:
+    """Centroid of a column of lines or of shapes."""
+    if isinstance(df.schema[name].dataType, T.StructType):
+        return shape_centroid(project_shape(F.col(name), crs))
+    return line_centroid(project_line(F.col(name), crs))
+
+
 def _locations(df: DataFrame) -> DataFrame:
     return df.select("px", "py").where("px is not null and py is not null").distinct()
 
@@ -480,15 +489,15 @@ def join_lines_to_units(
     how: str = "left",
     cell: float = 0.1,
 ) -> DataFrame:
-    """Edges with the unit their centroid lies within (outline excluded)."""
-    located = _with_point(edges.drop(*columns), line_centroid(F.col(line)), "px", "py")
+    """Edges, or areas given as shapes, with the unit their centroid lies within (outline excluded)."""
+    located = _with_point(edges.drop(*columns), _centroid(edges, line), "px", "py")
     out = _join_first_unit(located, units, key, rings, columns, False, cell).withColumnRenamed("unit", output_key)
     return out if how == "left" else out.where(F.col(output_key).isNotNull())
 
 
 def line_distance_to_nearest(edges: DataFrame, centroids: DataFrame, *, line: str = "line", **kwargs) -> DataFrame:
-    """Distance from the projected centroid of each line to the nearest place."""
-    middle = line_centroid(project_line(F.col(line), "mercator"))
+    """Distance from the projected centroid of each line, or area given as a shape, to the nearest place."""
+    middle = _centroid(edges, line, "mercator")
     places = _with_position(centroids, kwargs.pop("lon", "longitude"), kwargs.pop("lat", "latitude"), "mercator")
     placed = _with_point(edges, middle, "_mx", "_my")
     targets = places.select(F.col("px").alias("_mx"), F.col("py").alias("_my"))

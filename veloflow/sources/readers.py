@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.geo import line_from_wkt
+from ..functions.shapes import shape_from_wkt, shape_rings
 from ..functions.numeric import finite, finite_columns
 from ..functions.region_keys import pad_left
 from ..operators.admin_units import filter_region, units_at_level
@@ -200,7 +201,7 @@ def read_counter_measurements(spark: SparkSession, path: str, encoding: str = "U
 
 
 def traffic_volumes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Edges under internal names with only the needed columns; WKT becomes a vertex list."""
+    """Edges under internal names with only the needed columns; WKT of one or several lines becomes a vertex list."""
     if "geometry" in df.columns and "line" not in df.columns:
         df = df.withColumn("line", line_from_wkt(F.col("geometry")))
     if "KantenId" in df.columns:
@@ -227,10 +228,34 @@ def read_osm_infrastructure(spark: SparkSession, path: str) -> DataFrame | None:
     return None if df.isEmpty() else df
 
 
+def _with_rings(df: DataFrame) -> DataFrame:
+    """``shape`` and ``rings`` from a geometry text where the table brings no rings of its own."""
+    if "geometry" not in df.columns or "rings" in df.columns:
+        return df
+    # a generator row keeps the optimizer from parsing the text again for each use
+    shaped = df.select("*", F.inline(F.array(F.struct(shape_from_wkt(F.col("geometry")).alias("shape")))))
+    return shaped.withColumn("rings", shape_rings(F.col("shape")))
+
+
+def geometry_report(df: DataFrame, column: str = "geometry") -> DataFrame:
+    """Rows by ``kind`` of a geometry text, in one pass: a kind of shape, ``EMPTY``, ``MISSING`` or ``UNREADABLE``.
+
+    Only the last are a loss: rows whose text is there but gives no shape, so that spatial joins pass over them.
+    """
+    shape = shape_from_wkt(F.col(column))
+    kind = (
+        F.when(F.col(column).isNull() | (F.trim(column) == ""), "MISSING")
+        .when(shape.isNull(), "UNREADABLE")
+        .when(F.size(shape["parts"]) == 0, "EMPTY")
+        .otherwise(shape["kind"])
+    )
+    return df.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
 def municipalities(df: DataFrame, land_code: str = "00") -> DataFrame:
     if land_code != "00":
         df = df.where(F.col("Land") == land_code)
-    return keep_columns(rename(df, MUNICIPALITY_NAMES), ("ars", "name", "population", "land", "rings"))
+    return keep_columns(rename(_with_rings(df), MUNICIPALITY_NAMES), ("ars", "name", "population", "land", "rings", "shape"))
 
 
 def read_municipalities(spark: SparkSession, path: str, land_code: str = "00") -> DataFrame:
@@ -265,7 +290,7 @@ def read_city_centroids(spark: SparkSession, path: str) -> DataFrame:
 
 def admin_units(df: DataFrame, level: str, land_code: str = "00") -> DataFrame:
     picked = units_at_level(rename(df, UNIT_NAMES), level, land_code)
-    return keep_columns(picked, ("ars", "admin_level", "name", "rings"))
+    return keep_columns(_with_rings(picked), ("ars", "admin_level", "name", "rings", "shape"))
 
 
 def read_admin_units(spark: SparkSession, path: str, level: str, land_code: str = "00") -> DataFrame:

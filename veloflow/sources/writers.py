@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.geo import line_to_wkt
+from ..functions.shapes import shape_to_wkt
 from ..functions.numeric import finite_columns
 from ..functions.order_stats import quantiles
 from ..ml.training import TrainedModel
@@ -38,7 +39,9 @@ VERIFIED_ORDER = (
 
 
 def _as_table(df: DataFrame) -> DataFrame:
-    """CSV has no arrays, so a vertex list is written as WKT text."""
+    """CSV has no arrays, so a shape or a vertex list is written as WKT text."""
+    if "shape" in df.columns:
+        return df.withColumn("geometry", shape_to_wkt(F.col("shape"))).drop("shape", "line", "rings")
     if "line" in df.columns:
         df = df.withColumn("geometry", line_to_wkt(F.col("line"))).drop("line")
     return df
