@@ -1,16 +1,20 @@
 """Main text of web pages: parser events, text-to-tag ratio of each line, Gaussian smoothing, threshold clustering.
 
-Pages often come as one physical line, so a line here is what stands between two block tags. What markup itself declares to
-be no content (navigation, forms, scripts, asides, named adverts and comments) is left out first; the smoothed ratios then
-choose among the remaining regions. All lines of a chosen region stay, short ones too.
+Pages often come as one physical line, so a line here is what stands between two block tags. Scripts and the like have no
+lines. Elements that markup or a name declares to be no content are doubted: their lines take part in the smoothing, and an
+element that turns out to hold most of the smoothed text is a wrapper, so its doubt is lifted ("content-sidebar-wrap", a form
+around the page). Articles count twice against other regions, and the smoothed ratios choose among the regions left. All lines
+of a chosen region stay, short ones too.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +26,21 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_CONTENT = frozenset("applet audio button canvas datalist dialog embed footer form head header iframe label map menu nav noframes noscript object option output script select style svg template textarea title video aside".split())
+#: Never text of the page.
+UNSEEN = frozenset("applet audio button canvas datalist embed head iframe label map noframes noscript object option output script select style svg template textarea title video".split())
+#: No content, whatever they hold.
+BESIDES = frozenset("aside dialog footer menu nav".split())
+#: No content unless they hold most of the page.
+DOUBTED = frozenset("form header".split())
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset("article main section div td body".split())
-#: Names in class and id that mark what is no content, as whole parts of the name.
-NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright dialog disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe teaser toolbar topbar widget".split()
+#: Names in class and id that mark what is no content, as whole parts of the name. The first are believed in any case.
+NO_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus gdpr newsletter related recommended replies reply respond sponsor sponsored".split()
+)
+NAMES = NO_NAMES | frozenset(
+    "banner dialog footer header login masthead menu modal nav navbar navigation notice notices notification overlay pager pagination popup promo promoted promotion recommendation search share sharing sidebar sidenav signup skip social subscribe teaser toolbar topbar widget".split()
 )
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Next to these a name says what the element is with or without ("with-sidebar"), not what it is.
@@ -36,75 +48,127 @@ BESIDE = frozenset("has no not with without".split())
 #: On these a name is about the page as a whole, unless it says comment or advert.
 WHOLE = frozenset("html body main article".split())
 ON_WHOLE = frozenset("ad ads advert advertisement comment comments reply sponsored promo related teaser".split())
+#: Characters from which a line counts as running text.
+RUNNING = 80
+#: Smoothed text of articles counts this much against that of other regions.
+ARTICLE_WEIGHT = 2
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    linked: int  # characters in links
+    region: int
+    in_article: bool
+    doubt: int
+
+    def links(self) -> bool:
+        return not self.in_article and self.linked * 2 >= len(self.text)
+
+
+class Open(NamedTuple):
+    tag: str
+    unseen: bool
+    doubted: bool
+    in_header: bool
 
 
 class Lines(HTMLParser):
-    """Collects lines: (text, tags, characters in links, region, kind of region)."""
+    """Collects lines. Every tag costs a bounded number of steps and one step when it is closed, however deep the page is."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool]] = []  # tag, and whether it is no content
-        self.hidden = self.links = self.tags = self.linked = 0
-        self.regions: list[tuple[int, str]] = [(0, "page")]
+        self.open: list[Open] = []
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.unseen = self.tags = self.linked = 0
+        self.regions: list[tuple[int, bool]] = [(0, False)]
         self.made = 0
+        self.doubts: list[int] = [0]
+        self.outer: list[int] = [0]  # of each doubted element, the one around it; 0 is the page
+        self.believed: list[bool] = [False]
+        self.headers: list[int] = []  # open headings within each open header of an article
         self.parts: list[str] = []
-        self.lines: list[tuple[str, int, int, int, str]] = []
+        self.lines: list[Line] = []
 
     def line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            number, kind = self.regions[-1]
-            self.lines.append((text, max(self.tags, 1), self.linked, number, kind))
+            self.lines.append(Line(text, max(self.tags, 1), self.linked, *self.regions[-1], self.doubts[-1]))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "body" or (tag not in IN_HEAD and any(t == "head" for t, _ in self.open)):
+        if tag == "body" or (tag not in IN_HEAD and self.count["head"]):
             self.close_to("head")
         if tag in BLOCKS:
             self.line()
-            if self.open and self.open[-1][0] == "p":
+            if self.open and self.open[-1].tag == "p":
                 self.close_to("p")
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        hides = self.no_content(tag, attrs)
-        self.open.append((tag, hides))
-        self.hidden += hides
-        self.links += tag == "a"
+        in_article = self.regions[-1][1]
+        doubt = self.doubt(tag, attrs)
+        unseen = doubt is not None and (doubt == "unseen" or tag not in BLOCKS)
+        doubted = doubt is not None and not unseen
+        in_header = tag == "header" and in_article  # the article's own title; what else is in it is dropped line by line
+        self.open.append(Open(tag, unseen, doubted, in_header))
+        self.count[tag] += 1
+        self.unseen += unseen
+        if doubted:
+            self.outer.append(self.doubts[-1])
+            self.believed.append(doubt == "believed")
+            self.doubts.append(len(self.outer) - 1)
+        if in_header:
+            self.headers.append(0)
+        elif tag in HEADINGS and self.headers:
+            self.headers[-1] += 1
         if tag in REGIONS:
             self.made += 1
-            kind = self.regions[-1][1]
-            self.regions.append((self.made, "article" if tag in ("article", "main") else kind))
-            if kind == "article" or tag == "section":  # parts of an article, and a section's place, are those around them
-                self.regions[-1] = (self.regions[-2][0] if kind == "article" else self.made, self.regions[-1][1])
-
-    def no_content(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        in_article = self.regions[-1][1] == "article"
-        if tag == "header" and in_article:
-            return False  # the article's own title; what else is in it is dropped line by line
-        if tag in NO_CONTENT:
-            return True
-        if not attrs:
-            return False
+            self.regions.append((self.regions[-1][0] if in_article else self.made, in_article or tag in ("article", "main")))
+
+    def doubt(self, tag: str, attrs: list[tuple[str, str | None]]) -> str | None:
+        """``unseen``, ``believed`` to be no content, ``doubted``, or None."""
+        if tag in UNSEEN:
+            return "unseen"
         given = dict(attrs)
-        if "hidden" in given or given.get("aria-hidden") == "true" or (given.get("role") or "").lower() in ROLES or re.search(r"display\s*:\s*none", given.get("style") or ""):
-            return True
-        parts = set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{given.get('class') or ''} {given.get('id') or ''}").lower()))
-        return bool(parts & (ON_WHOLE if tag in WHOLE else NAMES)) and not parts & BESIDE and tag not in HEADINGS
+        if "hidden" in given or given.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", given.get("style") or ""):
+            return "unseen"
+        if tag in BESIDES or (given.get("role") or "").lower() in ROLES:
+            return "believed"
+        found = None
+        if tag in DOUBTED and not (tag == "header" and self.regions[-1][1]):
+            found = "doubted"
+        if tag in HEADINGS or not attrs or (tag == "header" and found is None):
+            return found
+        for name in f"{given.get('class') or ''} {given.get('id') or ''}".split():
+            parts = set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()))
+            if parts & BESIDE:
+                continue
+            if parts & (ON_WHOLE if tag in WHOLE else NO_NAMES):
+                return "believed"
+            if tag not in WHOLE and parts & NAMES:
+                found = "doubted"
+        return found
 
     def close_to(self, tag: str) -> None:
         """Close the innermost open ``tag`` and all that is open within it; nothing if there is none."""
-        if not any(t == tag for t, _ in self.open):
+        if not self.count[tag]:
             return
         while True:
-            t, hides = self.open.pop()
-            self.hidden -= hides
-            self.links -= t == "a"
-            if t in REGIONS:
+            e = self.open.pop()
+            self.count[e.tag] -= 1
+            self.unseen -= e.unseen
+            if e.doubted:
+                self.doubts.pop()
+            if e.in_header:
+                self.headers.pop()
+            elif e.tag in HEADINGS and self.headers:
+                self.headers[-1] -= 1
+            if e.tag in REGIONS:
                 self.regions.pop()
-            if t == tag:
+            if e.tag == tag:
                 return
 
     def handle_endtag(self, tag: str) -> None:
@@ -114,13 +178,10 @@ class Lines(HTMLParser):
         self.close_to(tag)
 
     def handle_data(self, data: str) -> None:
-        if self.hidden:
-            return
-        header = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == "header"), None) if any(t == "header" for t, _ in self.open) else None
-        if header is not None and not any(t in HEADINGS for t, _ in self.open[header:]):
+        if self.unseen or (self.headers and not self.headers[-1]):
             return
         self.parts.append(data)
-        if self.links:
+        if self.count["a"]:
             self.linked += len(data.strip())
 
 
@@ -132,28 +193,57 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[reach : reach + len(ratios)] / weights
 
 
+def left_out(parser: Lines, weights: np.ndarray) -> list[bool]:
+    """Of each doubted element whether it stays out.
+
+    The doubt of one not believed in any case is lifted if it holds more than half of the smoothed text that is not in
+    believed ones, at least half of that in articles, and an article's text or two lines of running text.
+    """
+    n = len(parser.outer)
+    out = [False] * n
+    for d in range(1, n):
+        out[d] = parser.believed[d] or out[parser.outer[d]]
+    held, articles, running = np.zeros(n), np.zeros(n), np.zeros(n)
+    for line, weight in zip(parser.lines, weights, strict=True):
+        if not out[line.doubt] and not line.links():
+            held[line.doubt] += weight
+            articles[line.doubt] += weight * line.in_article
+            running[line.doubt] += len(line.text) >= RUNNING
+    for d in range(n - 1, 0, -1):  # an element comes before those in it
+        for sums in (held, articles, running):
+            sums[parser.outer[d]] += sums[d]
+    for d in range(1, n):
+        wrapper = held[d] * 2 > held[0] and articles[d] * 2 >= articles[0] and (articles[d] > 0 or running[d] >= 2)
+        out[d] = parser.believed[d] or out[parser.outer[d]] or not wrapper
+    return out
+
+
 def main_text(html: str) -> str:
     """Lines of the chosen regions, white space within a line as one space, lines joined by an empty line.
 
+    Where the articles' smoothed text, counted twice, is at least that of the other regions, only articles are considered.
     A region is chosen when one of its lines has a smoothed ratio of at least the threshold: the deviation of the smoothed
-    ratios, or half the largest if that is less, so that some region is always chosen. Where a page has an article or main
-    element with text, only such regions are considered. Lines that are mostly links are dropped outside articles.
+    ratios, or half the largest if that is less, so that some region is always chosen. Lines that are mostly links are
+    dropped outside articles.
     """
     parser = Lines()
     parser.feed(html)
     parser.close()
     parser.line()
-    lines = parser.lines
-    if any(kind == "article" for *_, kind in lines):
-        lines = [x for x in lines if x[4] == "article"]
-    else:
-        lines = [x for x in lines if x[2] * 2 < len(x[0])]
+    if not parser.lines:
+        return ""
+    ratios = smoothed(np.array([len(x.text) / x.tags for x in parser.lines]))
+    out = left_out(parser, ratios)
+    lines = [(x, r) for x, r in zip(parser.lines, ratios, strict=True) if not out[x.doubt] and not x.links()]
+    in_articles = [(x, r) for x, r in lines if x.in_article]
+    if in_articles and ARTICLE_WEIGHT * sum(r for _, r in in_articles) >= sum(r for x, r in lines if not x.in_article):
+        lines = in_articles
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(text) / tags for text, tags, *_ in lines]))
-    threshold = min(float(ratios.std()), float(ratios.max()) / 2)
-    chosen = {line[3] for line, ratio in zip(lines, ratios, strict=True) if ratio >= threshold}
-    return "\n\n".join(line[0] for line in lines if line[3] in chosen)
+    seen = np.array([r for _, r in lines])
+    threshold = min(float(seen.std()), float(seen.max()) / 2)
+    chosen = {x.region for x, r in lines if r >= threshold}
+    return "\n\n".join(x.text for x, _ in lines if x.region in chosen)
 
 
 def extract(pages: DataFrame) -> DataFrame:
