@@ -210,6 +210,22 @@ def test_mask(odd):
 # 3 token files
 
 
+def test_re_pair_ends_only_when_nothing_is_frequent():
+    rng = np.random.default_rng(7)
+    cases = [rng.integers(0, 9, 6_000), np.tile(rng.integers(0, 500, 64), 8_000), np.zeros(5_001, np.int64), np.repeat(rng.integers(0, 40, 700), rng.integers(1, 30, 700))]
+    for ids in cases:
+        for pairs in (3, 2048):
+            symbols, rules = token_files.re_pair(ids.astype(np.uint32), 500, 60_000, pairs=pairs)
+            got = np.asarray(symbols, np.int64)
+            assert (token_files.expand(got, rules, 500) == ids).all()
+            left = Counter(zip(got[:-1].tolist(), got[1:].tolist()))
+            # the count of a round holds overlapping pairs too, so does this one
+            assert not left or max(left.values()) < token_files.LEAST
+            assert token_files.expansion_lengths(rules, 500).max() <= len(ids)
+    symbols, _ = token_files.re_pair(cases[1].astype(np.uint32), 500, 60_000)
+    assert len(symbols) <= 30
+
+
 def test_re_pair_round_trip():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 3, 4, 100, 30_000):

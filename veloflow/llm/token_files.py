@@ -22,28 +22,34 @@ from veloflow.llm.tokens import END_ID, TOKENIZER, encoder, slices, tokenizer_pa
 BLOCK_IDS = 1 << 20
 #: Bytes of text that a shard (one task, one file) holds, about.
 SHARD_BYTES = 32 << 20
-#: Rounds of replacement, pairs replaced in a round at most, and the least count that pays for a rule.
-ROUNDS, PAIRS, LEAST = 6, 2048, 12
+#: Pairs replaced in a round at most (others wait for the next round), and the least count that pays for a rule.
+PAIRS, LEAST = 2048, 12
 
 
-def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): the ids with frequent pairs replaced by nonterminals, again and again.
 
     Rule k, of two symbols, is nonterminal ``first_rule + k``. Each round counts all adjacent pairs and replaces the most
     frequent ones at once, from left to right, so that pairs that overlap are not both replaced. It ends when no pair comes
-    ``least`` times, when the rules are used up, or after ``rounds``.
+    ``least`` times or when the rules are used up. After a round that replaced all frequent pairs only pairs with a new
+    nonterminal can have become frequent, so only these are counted.
     """
     # a pair is one number: of 32 bits where symbols have 16, which halves what is sorted
     half, kind, spread, bits = (16, np.uint32, 0x9E3779B1, 18) if first_rule + most_rules <= 1 << 16 else (32, np.uint64, 0x9E3779B97F4A7C15, 18)
     down, part = kind(8 * np.dtype(kind).itemsize - bits), kind((1 << half) - 1)
     symbols = ids.astype(kind)
     rules: list[np.ndarray] = []
-    made = 0
-    for _ in range(rounds):
-        if len(symbols) < 2 or made >= most_rules:
-            break
+    made, fresh = 0, 0  # only pairs with a symbol from ``fresh`` on can be frequent
+    while len(symbols) >= 2 and made < most_rules:
         keys = symbols[:-1] << kind(half)
         keys |= symbols[1:]
+        spots = None
+        if fresh:
+            new = symbols >= fresh
+            spots = np.flatnonzero(new[:-1] | new[1:])
+            keys = keys[spots]
+            if not len(keys):
+                break
         ordered = np.sort(keys)
         starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
         counts = np.diff(np.append(starts, len(ordered)))
@@ -51,7 +57,8 @@ def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROU
         frequent = np.flatnonzero(counts >= least)
         if not len(frequent):
             break
-        if len(frequent) > room:
+        complete = len(frequent) <= room
+        if not complete:
             frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:room]]
         chosen = ordered[starts[frequent]]
         # a table by hash tells which pairs are chosen; of two that share a place the more frequent one is kept
@@ -60,22 +67,26 @@ def re_pair(ids: np.ndarray, first_rule: int, most_rules: int, rounds: int = ROU
         at = place(chosen)[::-1]
         table[at] = np.arange(len(chosen), dtype=np.int16)[::-1]
         kept = np.unique(table[at])
+        complete = complete and len(kept) == len(chosen)
         chosen = chosen[kept]
         table[:] = -1
         table[place(chosen)] = np.arange(len(chosen), dtype=np.int16)
         rule = table[place(keys)]
         hit = np.flatnonzero(rule >= 0)
         hit = hit[chosen[rule[hit]] == keys[hit]]
+        which = rule[hit].astype(np.int64)
+        hit = hit if spots is None else spots[hit]
         # in a run of overlapping pairs every other one is replaced
         run = np.concatenate([[True], np.diff(hit) != 1]) if len(hit) else np.zeros(0, bool)
         turn = np.arange(len(hit), dtype=np.int32)
         turn -= np.maximum.accumulate(np.where(run, turn, 0))
-        hit = hit[turn & 1 == 0]
-        symbols[hit] = first_rule + made + rule[hit].astype(np.int64)
+        hit, which = hit[turn & 1 == 0], which[turn & 1 == 0]
+        symbols[hit] = first_rule + made + which
         stay = np.ones(len(symbols), bool)
         stay[hit + 1] = False
         symbols = symbols[np.flatnonzero(stay)]
         rules.append(np.stack([chosen >> kind(half), chosen & part], axis=1).astype(np.int64))
+        fresh = first_rule + made if complete else 0
         made += len(chosen)
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
