@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 from ..operators import calibration as cal
 from ..operators.columns import INTERNAL_NAMES, detect_station_columns, keep_columns, missing_columns, rename
-from ..operators.contracts import list_contracts
+from ..operators.contracts import Contract, Rule, list_contracts, rule_names
 from ..operators.features import CAMPAIGN_FEATURES, Feature, FeatureRegistry, derive_features
 from ..session import scratch_path
 from ..sources import readers, writers
+from ..sources.checked import write_checked
 from . import stand_ins as t
 from .registry import query, rounded, table
 
@@ -155,3 +156,43 @@ def contract_roles(spark, sf):
 
     known = all(get_contract(n).name for n in list_contracts())
     return table(spark, sf, "region").agg(F.count("*").alias("n_regions")).withColumn("all_known", F.lit(known))
+
+
+ORDER_CONTRACT = Contract(
+    "orders",
+    (
+        Rule("o_orderkey", "bigint", unique=True),
+        Rule("o_custkey", "bigint"),
+        Rule("o_totalprice", "double", at_least=20_000, at_most=200_000),
+        Rule("o_orderstatus", "string", allowed=("F", "O")),
+    ),
+)
+_ORDER_RULES = """SELECT o_orderkey, o_totalprice < 20000 AS low, o_totalprice > 200000 AS high, o_orderstatus NOT IN ('F', 'O') AS other,
+                         o_orderkey IS NULL AS missing, count(*) OVER (PARTITION BY o_orderkey) > 1 AS twice
+                  FROM (SELECT o_orderkey // 2 * (o_orderkey % 10 // 9) + o_orderkey * (1 - o_orderkey % 10 // 9) AS o_orderkey, o_totalprice, o_orderstatus FROM orders)"""
+
+
+@query(
+    "checked_write",
+    f"""WITH r AS ({_ORDER_RULES}), s AS (SELECT *, low OR high OR other OR missing OR twice AS bad FROM r)
+        SELECT 'rows' AS item, count(*) AS observed, count(*) AS stored FROM s
+        UNION ALL SELECT 'kept', count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE NOT bad) FROM s
+        UNION ALL SELECT 'o_totalprice:at_least_20000', count(*) FILTER (WHERE low), count(*) FILTER (WHERE low) FROM s
+        UNION ALL SELECT 'o_totalprice:at_most_200000', count(*) FILTER (WHERE high), count(*) FILTER (WHERE high) FROM s
+        UNION ALL SELECT 'o_orderstatus:allowed', count(*) FILTER (WHERE other), count(*) FILTER (WHERE other) FROM s
+        UNION ALL SELECT 'o_orderkey:unique', count(*) FILTER (WHERE twice), count(*) FILTER (WHERE twice) FROM s""",
+)
+def checked_write(spark, sf):
+    """V1, V2: orders under a contract, some keys made equal; counts seen during the write beside those of the files."""
+    k = F.col("o_orderkey")
+    key = F.when(k % 10 == 9, F.floor(k / 2)).otherwise(k).cast("bigint")
+    orders = table(spark, sf, "orders").select(key.alias("o_orderkey"), "o_custkey", "o_totalprice", "o_orderstatus")
+    done = write_checked(orders, ORDER_CONTRACT, scratch_path(spark, "checked"))
+    names = [n for n in rule_names(ORDER_CONTRACT, orders.columns) if n in done.failed]
+    observed = [("rows", done.n_rows), ("kept", done.n_kept), *[(n, done.failed[n]) for n in names]]
+    stored = (
+        done.aside().select(F.explode("failed_rules").alias("item")).groupBy("item").agg(F.count("*").alias("stored"))
+        .unionByName(done.kept().agg(F.count("*").alias("stored")).withColumn("item", F.lit("kept")))
+        .unionByName(done.kept().select(F.lit(1)).unionAll(done.aside().select(F.lit(1))).agg(F.count("*").alias("stored")).withColumn("item", F.lit("rows")))
+    )
+    return spark.createDataFrame(observed, "item string, observed bigint").join(stored, "item", "full")

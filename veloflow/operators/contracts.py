@@ -243,6 +243,22 @@ def _checks(rule: Rule) -> list[tuple[str, Column]]:
     return checks
 
 
+def failed_rules(contract: Contract, columns: Sequence[str]) -> list[Column]:
+    """Per rule on a column that is there: its name as ``column:rule`` where a row breaks it, else NULL. Not uniqueness."""
+    return [
+        F.when(F.coalesce(bad, F.lit(False)), F.lit(f"{r.column}:{name}"))
+        for r in contract.rules
+        if r.column in columns
+        for name, bad in _checks(r)
+    ]
+
+
+def rule_names(contract: Contract, columns: Sequence[str]) -> list[str]:
+    """Names of all rules on the columns that are there."""
+    own = [r for r in contract.rules if r.column in columns]
+    return [f"{r.column}:{name}" for r in own for name, _ in _checks(r)] + [f"{r.column}:unique" for r in own if r.unique]
+
+
 def check_contract(df: DataFrame, contract: Contract | str) -> DataFrame:
     """Failure counts per rule: ``(column, rule, n_failed)``, only rules that fail.
 
