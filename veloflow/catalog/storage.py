@@ -196,3 +196,31 @@ def checked_write(spark, sf):
         .unionByName(done.kept().select(F.lit(1)).unionAll(done.aside().select(F.lit(1))).agg(F.count("*").alias("stored")).withColumn("item", F.lit("rows")))
     )
     return spark.createDataFrame(observed, "item string, observed bigint").join(stored, "item", "full")
+
+
+@query("infrastructure_csv", t.sql("SELECT edge_id AS osm_id, raw AS bicycle_infrastructure FROM edge_class", "edge_class"))
+def infrastructure_csv(spark, sf):
+    """Classified ways with a column too many; an absent class stays missing."""
+    path = scratch_path(spark, "ways")
+    ways = t.edge_class(spark, sf).select(F.col("edge_id").alias("osm_id"), F.col("raw").alias("bicycle_infrastructure"), F.lit("x").alias("other"))
+    ways.write.option("header", True).csv(path)
+    return readers.read_osm_infrastructure(spark, path).select(F.col("osm_id").cast("bigint").alias("osm_id"), "bicycle_infrastructure")
+
+
+@query("centroids_csv", t.sql("SELECT k AS id, longitude, latitude FROM place", "place"))
+def centroids_csv(spark, sf):
+    """Places whose coordinates are only in a POINT text."""
+    path = scratch_path(spark, "centroids") + ".csv"
+    point = F.concat(F.lit("POINT ("), F.col("longitude").cast("string"), F.lit(" "), F.col("latitude").cast("string"), F.lit(")"))
+    t.place(spark, sf).select(F.col("k").alias("ID"), F.lit("Köln").alias("Name"), point.alias("geometry")).write.option("header", True).csv(path)
+    return readers.read_city_centroids(spark, path).select(F.col("id").cast("bigint").alias("id"), "longitude", "latitude")
+
+
+@query("demographics_csv", t.sql("SELECT ars AS \"ARS\", n_users, total_km FROM commune", "commune"))
+def demographics_csv(spark, sf):
+    """Keys that lost their leading zeros get them back."""
+    path = scratch_path(spark, "participation")
+    rows = t.commune(spark, sf).select(F.regexp_replace("ars", "^0+", "").alias("ARS"), "n_users", "total_km")
+    rows.write.option("header", True).option("sep", ";").csv(path)
+    back = readers.read_demographics_csv(spark, path)
+    return back.select("ARS", F.col("n_users").cast("bigint").alias("n_users"), F.col("total_km").cast("double").alias("total_km"))
