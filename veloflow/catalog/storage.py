@@ -82,11 +82,14 @@ def predictions_parquet(spark, sf):
     return spark.read.parquet(writers.write_predictions(t.edge(spark, sf), scratch_path(spark, "predictions"))).select("edge_id", "base_id", "count")
 
 
-@query("predictions_wkt", t.sql("SELECT edge_id, TRUE AS is_line FROM edge", "edge"))
+@query("predictions_wkt", t.sql("SELECT edge_id, TRUE AS is_line, round(lon1, 6) AS x1, round(lat1, 6) AS y1, round(lon2, 6) AS x2, round(lat2, 6) AS y2 FROM edge", "edge"))
 def predictions_wkt(spark, sf):
-    """K3: lines as text."""
+    """K3: lines as text, and their coordinates in it."""
     back = spark.read.option("header", True).csv(writers.write_predictions(t.edge(spark, sf), scratch_path(spark, "predictions"), "csv"))
-    return back.select(F.col("edge_id").cast("bigint").alias("edge_id"), F.col("geometry").startswith("LINESTRING").alias("is_line"))
+    numbers = F.regexp_extract_all("geometry", F.lit(r"[-+.\deE]*\d[-+.\deE]*"), F.lit(0))
+    ends = [F.get(numbers, F.lit(i)).cast("double").alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))]
+    out = back.select(F.col("edge_id").cast("bigint").alias("edge_id"), F.col("geometry").startswith("LINESTRING").alias("is_line"), *ends)
+    return rounded(out, 6)
 
 
 @query("verified_csv", t.sql("SELECT counter_id, CAST(k * 3 AS BIGINT) AS base_id, k % 4 = 0 AS is_discarded, 'v1' AS etl_version FROM counter", "counter"))
