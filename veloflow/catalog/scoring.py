@@ -11,6 +11,7 @@ from ..ml.inference import imputation_report, impute, predict_volumes, predictio
 from ..ml.models import get_model
 from ..operators import calibration as cal
 from ..operators import metrics as met
+from ..operators.additive import Additive, RatioOfSums
 from ..operators.columns import rename
 from ..operators.ranking import seeded_sample
 from ..sources.training_data import ENHANCED, TRAINING_TO_MODEL
@@ -337,6 +338,59 @@ def calib_params(spark, sf):
     return cal.params_table(fitted, spark).select("calibrator_type", factor.alias("factor"), "n_stations")
 
 
+SUMS = "coalesce(least(greatest(sum(CASE WHEN {v} THEN {t} END) / sum(CASE WHEN {v} THEN {p} END), 0.1::DOUBLE), 10), 1)"
+SUM_FACTOR = SUMS.format(v=VALID, t="y_true", p="y_pred")
+SUM_FACTOR_B = SUMS.format(v="b.y_pred > 0 AND b.y_true >= 0", t="b.y_true", p="b.y_pred")
+
+
+def _halves(s):
+    """Fits of the stations with an even and with an odd id, by stratum."""
+    of = lambda k: Additive(RatioOfSums(), ("stratum",), 40).fit(s.where(F.pmod("id", F.lit(2)) == k))
+    return of(0), of(1)
+
+
+@query(
+    "calib_merged",
+    t.sql(
+        f"""SELECT id, round(y_pred * CASE WHEN f.n >= 40 THEN f.factor ELSE (SELECT {SUM_FACTOR} FROM station) END, 6) AS y_calibrated
+            FROM station s LEFT JOIN (SELECT stratum, count(*) AS n, {SUM_FACTOR} AS factor FROM station GROUP BY 1) f ON s.stratum IS NOT DISTINCT FROM f.stratum""",
+        "station",
+    ),
+)
+def calib_merged(spark, sf):
+    """C4: states of two halves merged, equal to one fit of all stations."""
+    s = t.station(spark, sf)
+    even, odd = _halves(s)
+    return rounded(even.merge(odd).apply(s).select("id", "y_calibrated"))
+
+
+@query(
+    "calib_withdrawn",
+    t.sql(f"SELECT stratum, CAST(count(*) AS BIGINT) AS n, round({SUM_FACTOR}, 8) AS factor FROM station WHERE id % 2 = 0 GROUP BY 1 HAVING count(*) >= 40", "station"),
+)
+def calib_withdrawn(spark, sf):
+    """C4: half of the stations subtracted from a fit of all."""
+    s = t.station(spark, sf)
+    everything, (_, odd) = Additive(RatioOfSums(), ("stratum",), 40).fit(s), _halves(s)
+    return rounded(everything.subtract(odd).strata(), 8)
+
+
+@query(
+    "calib_loocv_merged",
+    t.sql(
+        f"""SELECT a.id, round(abs(a.y_pred * CASE WHEN count(b.id) FILTER (WHERE b.stratum IS NOT DISTINCT FROM a.stratum) >= 40
+              THEN {SUM_FACTOR_B.replace(" END)", " END) FILTER (WHERE b.stratum IS NOT DISTINCT FROM a.stratum)")} ELSE {SUM_FACTOR_B} END - a.y_true), {LOG_DIGITS}) AS abs_error
+            FROM station a JOIN station b ON a.id <> b.id GROUP BY a.id, a.y_pred, a.y_true, a.stratum""",
+        "station",
+    ),
+)
+def calib_loocv_merged(spark, sf):
+    """Leave-one-out errors from merged sums less each station's share."""
+    s = t.station(spark, sf)
+    even, odd = _halves(s)
+    return rounded(cal.loocv_errors(even.merge(odd), s).select("id", "abs_error"), LOG_DIGITS)
+
+
 # --- preprocessing ---------------------------------------------------------------------------
 
 GAPPY = """SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS bal, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS seg,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
 from ..operators import calibration as cal
+from ..operators.additive import Additive, RatioOfSums
 from ..operators.columns import INTERNAL_NAMES, detect_station_columns, keep_columns, missing_columns, rename
 from ..operators.contracts import Contract, Rule, list_contracts, rule_names
 from ..operators.features import CAMPAIGN_FEATURES, Feature, FeatureRegistry, derive_features
@@ -121,6 +122,22 @@ def prediction_tables(spark, sf):
 FACTOR = "coalesce(least(greatest(median(CASE WHEN y_pred > 0 AND y_true >= 0 THEN y_true / y_pred END), 0.1::DOUBLE), 10), 1)"
 
 
+@query(
+    "calibrator_state_round_trip",
+    t.sql(
+        """SELECT stratum, CAST(count(*) AS BIGINT) AS n, round(coalesce(least(greatest(sum(CASE WHEN y_pred > 0 AND y_true >= 0 THEN y_true END)
+             / sum(CASE WHEN y_pred > 0 AND y_true >= 0 THEN y_pred END), 0.1::DOUBLE), 10), 1), 8) AS factor FROM station GROUP BY 1 HAVING count(*) >= 40""",
+        "station",
+    ),
+)
+def calibrator_state_round_trip(spark, sf):
+    """A state is saved and loaded, and takes in the stations that came later."""
+    s = t.station(spark, sf)
+    early, late = (Additive(RatioOfSums(), ("stratum",), 40).fit(s.where((F.col("id") % 3 == 0) == is_late)) for is_late in (False, True))
+    loaded = writers.load_calibrator(spark, writers.save_calibrator(early, spark, scratch_path(spark, "calibrator")))
+    return rounded(loaded.merge(late).strata(), 8)
+
+
 @query("calibrator_round_trip", t.sql(f"SELECT id, round(y_pred * (SELECT {FACTOR} FROM station), 6) AS y_calibrated FROM station", "station"))
 def calibrator_round_trip(spark, sf):
     """A calibrator is fitted, saved, loaded and applied."""

@@ -260,6 +260,7 @@ def save_calibrator(calibrator, spark: SparkSession, path: str, metrics: DataFra
 
 def load_calibrator(spark: SparkSession, path: str):
     """Fitted calibrator from its parameters."""
+    from ..operators.additive import Additive
     from ..operators.calibration import GlobalMultiplicative, LogLinear, Stratified
 
     saved = json.loads(spark.read.text(f"{path}/params").first()["value"])
@@ -270,6 +271,8 @@ def load_calibrator(spark: SparkSession, path: str):
             return GlobalMultiplicative(factor=values["factor"], n_stations=n)
         return LogLinear(alpha=values["alpha"], a=values["a"], b=values["b"], n_stations=n)
 
+    if saved["calibrator_type"] == "additive":
+        return Additive.restored(p, spark.read.parquet(f"{path}/strata"))
     if saved["calibrator_type"] != "stratified":
         return plain(p)
     return Stratified(
