@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.geo import utm32_x, utm32_y
 from ..functions.shapes import shape_centroid
 from ..ml.inference import predict_at_locations
 from ..operators import spatial as sp
+from ..operators.edge_cells import candidate_pairs_stored, match_nearest_stored, store_edge_cells
 from ..session import scratch_path
 from ..sources import readers, writers
 from . import stand_ins as t
@@ -52,6 +55,37 @@ def nearest_edge(spark, sf):
     return rounded(out.select("counter_id", "nearest_edge_dist_m", "base_id", "count"), 4)
 
 
+def _stored(spark, sf):
+    name = f"edge_cells_{uuid.uuid4().hex}"
+    return store_edge_cells(t.edge(spark, sf), name, LIMIT, ["base_id", "count"], path=scratch_path(spark, "edge-cells"), buckets=8)
+
+
+@query(
+    "nearest_edge_stored",
+    t.sql(
+        f"""SELECT c.counter_id, round(n.d, 4) AS nearest_edge_dist_m, n.base_id, n.count FROM counter c LEFT JOIN
+              (SELECT *, row_number() OVER (PARTITION BY counter_id ORDER BY d, edge_id) AS rn FROM ({_pairs(POINT_M, EDGE_M)}) WHERE d <= {LIMIT}) n
+            ON c.counter_id = n.counter_id AND n.rn = 1""",
+        "counter",
+        "edge",
+    ),
+)
+def nearest_edge_stored(spark, sf):
+    """J11 against edge cells stored once."""
+    out = match_nearest_stored(t.counter(spark, sf), _stored(spark, sf), LIMIT)
+    return rounded(out.select("counter_id", "nearest_edge_dist_m", "base_id", "count"), 4)
+
+
+@query(
+    "candidate_pairs_stored",
+    t.sql(f"SELECT counter_id, edge_id, base_id, round(d, 4) AS distance FROM ({_pairs(POINT_M, EDGE_M)}) WHERE d <= {LIMIT}", "counter", "edge"),
+)
+def stored_candidates(spark, sf):
+    """J12 against edge cells stored once."""
+    pairs = candidate_pairs_stored(t.counter(spark, sf), _stored(spark, sf), LIMIT)
+    return rounded(pairs.select("counter_id", "edge_id", "base_id", "distance"), 4)
+
+
 @query(
     "candidate_edges",
     t.sql(f"SELECT counter_id, edge_id, base_id, round(d, 4) AS distance FROM ({_pairs(POINT_M, EDGE_M)}) WHERE d <= {LIMIT}", "counter", "edge"),

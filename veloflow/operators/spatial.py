@@ -113,7 +113,11 @@ def _distance() -> Column:
 def _nearest(points: DataFrame, segments: DataFrame, limit: float, dense: int | None, depth: int = 0) -> DataFrame:
     """``(px, py, best)`` with ``best`` the smallest ``(distance, edge)`` within the limit."""
     size = limit * CELL_SLACK
-    cover = _cover(segments, size)
+    return _nearest_in(points, _cover(segments, size), size, limit, dense, depth)
+
+
+def _nearest_in(points: DataFrame, cover: DataFrame, size: float, limit: float, dense: int | None, depth: int = 0) -> DataFrame:
+    """As :func:`_nearest`, for segments laid into cells of ``size``, which is not below the limit."""
     resolved = None
     if dense is not None and depth < MAX_REFINEMENTS:
         hot = cover.groupBy("cx", "cy").agg(F.count("*").alias("n")).where(F.col("n") > dense).select("cx", "cy")
