@@ -161,6 +161,15 @@ def test_units_through_a_file(spark, tmp_path):
     assert [r[0] for r in back.select(shape_to_wkt(F.col("shape"))).collect()] == [HOLED, TWO, "POLYGON EMPTY"]
 
 
+def test_middle_of_a_segment_is_exact(spark):
+    """A point of an outline stays on it: the middle of one segment has no rounding of its own."""
+    xs = [(80000 + 7 * i) / 10000 for i in range(2000)]
+    rows = spark.createDataFrame([(i, x, x + 0.002) for i, x in enumerate(xs)], "i int, a double, b double")
+    vertex = lambda c: F.struct(F.col(c).alias("x"), F.lit(50.0).alias("y"))
+    middles = column(rows, line_centroid(F.array(vertex("a"), vertex("b"))))
+    assert [m["x"] for m in middles] == [(x + (x + 0.002)) / 2 for x in xs]
+
+
 def test_rectangles_weigh_as_in_sql(spark):
     """Centroid of two squares from w = dx * dy and (x0 + x9) / 2, to the last digit."""
     squares = [[((80000 + 3 * i + dx) / 10000, (508000 - 7 * i + 0) / 10000, side / 10000) for dx, side in ((0, 200), (300, 100))] for i in range(500)]

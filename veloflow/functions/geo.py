@@ -106,7 +106,10 @@ def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
 
 
 def line_centroid(line: Column) -> Column:
-    """Length-weighted mean of the segment midpoints; a line without length is its first vertex."""
+    """Length-weighted mean of the segment midpoints; a line without length is its first vertex.
+
+    Midpoints are summed as offsets from the first one, so a single segment gives its midpoint to the last digit.
+    """
     n = F.size(line)
     rest = F.greatest(n - 1, F.lit(0))
 
@@ -116,20 +119,26 @@ def line_centroid(line: Column) -> Column:
         return F.when(a.isNotNull() & b.isNotNull(), F.struct(length.alias("w"), x.alias("x"), y.alias("y")))
 
     def add(acc: Column, s: Column) -> Column:
+        first = F.when(acc["x0"].isNull(), s).otherwise(F.struct(s["w"].alias("w"), acc["x0"].alias("x"), acc["y0"].alias("y")))
         return F.struct(
-            (acc["w"] + s["w"]).alias("w"), (acc["x"] + s["w"] * s["x"]).alias("x"), (acc["y"] + s["w"] * s["y"]).alias("y")
+            (acc["w"] + s["w"]).alias("w"),
+            (acc["x"] + s["w"] * (s["x"] - first["x"])).alias("x"),
+            (acc["y"] + s["w"] * (s["y"] - first["y"])).alias("y"),
+            first["x"].alias("x0"),
+            first["y"].alias("y0"),
         )
 
     def finish(acc: Column) -> Column:
         first = F.get(line, F.lit(0))
         has_length = acc["w"] > 0
         return F.struct(
-            F.when(has_length, acc["x"] / acc["w"]).otherwise(first["x"]).alias("x"),
-            F.when(has_length, acc["y"] / acc["w"]).otherwise(first["y"]).alias("y"),
+            F.when(has_length, acc["x0"] + acc["x"] / acc["w"]).otherwise(first["x"]).alias("x"),
+            F.when(has_length, acc["y0"] + acc["y"] / acc["w"]).otherwise(first["y"]).alias("y"),
         )
 
     segments = F.filter(F.zip_with(F.slice(line, 1, rest), F.slice(line, 2, rest), segment), lambda s: s.isNotNull())
-    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    none = F.lit(None).cast("double")
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("w", "x", "y")], none.alias("x0"), none.alias("y0"))
     return F.when(n > 0, F.aggregate(segments, zero, add, finish))
 
 
