@@ -3,14 +3,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from veloflow.functions.geo import line_centroid, line_from_wkt, line_to_wkt, utm32_x, utm32_y
+from veloflow.operators.calibration import GlobalMultiplicative
 from veloflow.operators.spatial import (
+    _cover,
     candidate_pairs,
     distance_to_nearest,
     edges_near_counters,
     find_candidate_edges,
     join_units,
+    line_segments,
     match_nearest_edge,
+    nearest_pairs,
 )
+from veloflow.plans.predict import run_calibration
 
 LIMIT = 50.0
 EDGE_SCHEMA = "edge_id int, base_id int, count int, line array<struct<x:double,y:double>>"
@@ -132,6 +137,36 @@ def test_units_with_hole_parts_and_border(spark):
     assert inner == {"in": "01", "part": "01"}
 
 
+def test_two_nearest_equal_brute_force(network):
+    """Counters that share a location bring two rows each, however many edges lie around."""
+    points, edges, want = network
+    copies = points.unionByName(points.withColumn("counter_id", F.col("counter_id") + 10000))
+    rows = nearest_pairs(copies, edges, LIMIT, 2, crs="plane").orderBy("counter_id", "distance", "edge_id").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["counter_id"], []).append((round(r["distance"], 9), r["edge_id"]))
+    expected = {c + shift: [(round(d, 9), e) for d, e in found[:2]] for c, found in want.items() for shift in (0, 10000) if found}
+    assert got == expected
+
+
+def test_cells_of_a_segment_come_once_and_are_generated_code(network):
+    _, edges, _ = network
+    cells = _cover(line_segments(edges, ["edge_id"], crs="plane"), 7.0)
+    assert cells.count() == cells.distinct().count() > 0
+    assert "lambdafunction" not in cells._jdf.queryExecution().executedPlan().toString().split("Generate")[1]
+
+
+def test_calibration_matches_stations_once(network):
+    points, edges, _ = network
+    stations = points.where("longitude is not null").select("counter_id", (F.col("longitude") / 1e5 + 9).alias("longitude"), (F.col("latitude") / 1e5 + 50).alias("latitude"), F.lit(7.0).alias("dtv"))
+    vertex = lambda v: F.struct((v["x"] / 1e5 + 9).alias("x"), (v["y"] / 1e5 + 50).alias("y"))
+    placed = edges.withColumns({"line": F.transform("line", vertex), "predicted_dtv": F.col("count") + 1.0})
+    _, evaluation = run_calibration(GlobalMultiplicative(), stations, placed)
+    plan = evaluation._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" in plan and "xxhash64" not in plan.split("InMemoryRelation")[0] and "Generate" not in plan.split("InMemoryRelation")[0]
+    assert evaluation.first()["n_without_edge"] > 0
+
+
 def test_no_nested_loop_over_large_sides(network):
     points, edges, _ = network
     for df in (

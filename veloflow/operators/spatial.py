@@ -47,25 +47,25 @@ def _cover(segments: DataFrame, size: float) -> DataFrame:
     """One row per cell a segment runs through.
 
     The segment is walked in pieces no longer than a cell, so the number of cells grows with its
-    length, not with the area of its bounding box.
+    length, not with the area of its bounding box. Pieces are rows, so all of it is generated code;
+    a piece leaves out the cells of the piece before it.
     """
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     steps = F.greatest(F.ceil(F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) / F.lit(float(size))), F.lit(1))
+    walked = segments.withColumn("_n", steps).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
 
-    def piece(i: Column) -> Column:
-        def at(k: Column, a: Column, b: Column) -> Column:
-            return F.when(k >= steps, b).otherwise(a + (b - a) * (k / steps))
+    def at(k: Column, a: Column, b: Column) -> Column:
+        return _floor_cell(F.when(k >= F.col("_n"), b).otherwise(a + (b - a) * (k / F.col("_n"))), size)
 
-        xs = (at(i, x1, x2), at(i + 1, x1, x2))
-        ys = (at(i, y1, y2), at(i + 1, y1, y2))
-        columns = F.sequence(_floor_cell(F.least(*xs), size), _floor_cell(F.greatest(*xs), size))
-        rows = F.sequence(_floor_cell(F.least(*ys), size), _floor_cell(F.greatest(*ys), size))
-        return F.flatten(
-            F.transform(columns, lambda cx: F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))))
-        )
+    k = F.col("_k")
+    ends = {f"_{c}{i}": at(k + i - 1, a, b) for c, a, b in (("x", x1, x2), ("y", y1, y2)) for i in range(3)}
+
+    def span(c: str, i: int) -> tuple[Column, Column]:
+        return F.least(f"_{c}{i}", f"_{c}{i + 1}"), F.greatest(f"_{c}{i}", f"_{c}{i + 1}")
 
-    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), steps - 1), piece)))
-    return segments.withColumn("_cell", F.explode(cells)).select(*segments.columns, "_cell.cx", "_cell.cy")
+    cells = walked.withColumns(ends).withColumn("cx", F.explode(F.sequence(*span("x", 1)))).withColumn("cy", F.explode(F.sequence(*span("y", 1))))
+    seen = (k > 0) & F.col("cx").between(*span("x", 0)) & F.col("cy").between(*span("y", 0))
+    return cells.where(~seen).select(*segments.columns, "cx", "cy")
 
 
 def line_segments(edges: DataFrame, columns: Sequence[str], line: str = "line", crs: str = "mercator") -> DataFrame:
@@ -120,7 +120,11 @@ def _nearest_in(points: DataFrame, cover: DataFrame, size: float, limit: float,
     """As :func:`_nearest`, for segments laid into cells of ``size``, which is not below the limit."""
     resolved = None
     if dense is not None and depth < MAX_REFINEMENTS:
-        hot = cover.groupBy("cx", "cy").agg(F.count("*").alias("n")).where(F.col("n") > dense).select("cx", "cy")
+        # few locations are seen to be few, so that the cells of all segments need no shuffle
+        points = reuse(points)
+        points.count()
+        occupied = points.select(_floor_cell(F.col("px"), size).alias("cx"), _floor_cell(F.col("py"), size).alias("cy")).distinct()
+        hot = cover.join(_block(occupied, 1), ["cx", "cy"], "left_semi").groupBy("cx", "cy").agg(F.count("*").alias("n")).where(F.col("n") > dense).select("cx", "cy")
         hot = reuse(hot)
         if hot.isEmpty():
             hot.unpersist()
@@ -166,7 +170,7 @@ def match_nearest_edge(
     # copies of a segment differ in the edge only, the smallest one wins any tie
     edge = F.struct(F.col(edge_key), *[F.col(c) for c in captured])
     unique = segments.groupBy("x1", "y1", "x2", "y2").agg(F.min(edge).alias("edge"))
-    best = _nearest(_locations(located), unique, float(max_distance_m), dense)
+    best = _nearest(_locations(located), unique if dense is None else reuse(unique), float(max_distance_m), dense)
     found = best.select(
         "px", "py", F.col("best.d").alias(distance_column), *[F.col(f"best.edge.{c}").alias(c) for c in captured]
     )
@@ -201,6 +205,35 @@ def candidate_pairs(
     return located.select(counter_key, "px", "py").join(near, ["px", "py"]).drop("px", "py")
 
 
+def nearest_pairs(
+    counters: DataFrame,
+    edges: DataFrame,
+    max_distance_m: float = 50.0,
+    count: int = 2,
+    *,
+    counter_key: str = "counter_id",
+    edge_key: str = "edge_id",
+    lon: str = "longitude",
+    lat: str = "latitude",
+    line: str = "line",
+    crs: str = "mercator",
+) -> DataFrame:
+    """The rows of :func:`candidate_pairs` with the ``count`` nearest edges of each counter, smaller keys first where distances are equal.
+
+    They are picked per location, so counters that share one do not multiply the edges around it.
+    """
+    located = _with_position(counters.select(counter_key, lon, lat), lon, lat, crs)
+    points = reuse(_locations(located))
+    points.count()  # few locations are seen to be few, so that the cells of all segments need no shuffle
+    limit = float(max_distance_m)
+    size = limit * CELL_SLACK
+    pairs = _around(points, size).join(_cover(line_segments(edges, [edge_key], line, crs), size), ["cx", "cy"]).withColumn("_d", _distance())
+    near = pairs.where(F.col("_d") <= limit).groupBy("px", "py", edge_key).agg(F.min("_d").alias("distance"))
+    place = F.row_number().over(Window.partitionBy("px", "py").orderBy("distance", edge_key))
+    first = near.withColumn("_place", place).where(F.col("_place") <= count).drop("_place")
+    return located.select(counter_key, "px", "py").join(first, ["px", "py"]).drop("px", "py")
+
+
 def find_candidate_edges(
     counters: DataFrame,
     edges: DataFrame,

@@ -22,13 +22,13 @@ from ..operators.joins import (
 )
 from ..operators.outliers import Fences, detect_all
 from ..operators.spatial import (
-    candidate_pairs,
     distance_to_nearest,
     find_candidate_edges,
     join_lines_to_units,
     join_units,
     line_distance_to_nearest,
     match_nearest_edge,
+    nearest_pairs,
 )
 from ..operators.targets import daily_traffic, drop_uninhabited, filter_quality, matched_only, targets_from_locations
 from ..session import reuse
@@ -125,11 +125,12 @@ def run_etl(inputs: EtlInputs, mode: str = "production", drop_discarded: bool =
     if mode == "production" and inputs.verified is not None:
         matched = join_verified(counters, inputs.verified, drop_discarded)
     else:
-        # matching, candidates and counts all start from the counters
-        counters = reuse(counters)
+        # matching, candidates and counts all start from the counters and the edges
+        counters, edges = reuse(counters), reuse(edges)
         matched = match_nearest_edge(counters, edges, MATCH_LIMIT_M)
         if mode == "verification":
-            pairs = reuse(candidate_pairs(counters, edges, MATCH_LIMIT_M)) if ambiguity_from_pairs else None
+            # the detector looks at the two nearest only
+            pairs = reuse(nearest_pairs(counters, edges, MATCH_LIMIT_M, 2)) if ambiguity_from_pairs else None
             merged = merge_verifications(matched, inputs.verified)
             # the detectors read the matches several times to fit their limits
             merged = reuse(merged if ambiguity_from_pairs else find_candidate_edges(merged, edges, MATCH_LIMIT_M))
