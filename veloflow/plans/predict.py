@@ -55,6 +55,7 @@ def run_calibration(
     """Calibrated edges and the evaluation row. Stations without an edge nearby are left out and counted."""
     at_stations = predict_at_locations(stations, predicted_edges, max_distance_m)
     pairs = at_stations.withColumns({"y_pred": F.col("predicted_dtv"), "y_true": F.col("dtv").cast("double")})
+    pairs = reuse(pairs)  # the fit, both evaluations and the count read the matches
     usable = pairs.where("y_pred is not null and y_true is not null")
     fitted, evaluation = calibrate_and_evaluate(calibrator, usable)
     unmatched = pairs.agg(F.count_if(F.col("y_pred").isNull())).scalar()
