@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 from ..functions.numeric import finite
 from ..functions.order_stats import quantiles
 from ..operators.spatial import match_nearest_edge
+from ..session import reuse
 from .training import TrainedModel
 
 EMPTY_CATEGORY = "unknown"
@@ -41,7 +42,10 @@ def fill_values(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float
 
 def impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Gaps of the named columns filled; infinite numbers count as gaps."""
-    fills, _ = fill_values(df, columns)
+    return filled(df, fill_values(df, columns)[0])
+
+
+def filled(df: DataFrame, fills: Mapping[str, float | str]) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema.fields}
     new = {}
     for c, fill in fills.items():
@@ -61,7 +65,8 @@ def predict_volumes(trained: TrainedModel, df: DataFrame, output: str = "predict
     """Impute the features, score every row, keep the original columns."""
     features = [f for f, _ in trained.prep.plan()]
     staged = df.withColumns({f"_o_{f}": F.col(f) for f in features})
-    scored = trained.predict(impute(staged, features), output)
+    fills, _ = fill_values(reuse(df.select(*features)), features)
+    scored = trained.predict(filled(staged, fills), output)
     return scored.withColumns({f: F.col(f"_o_{f}") for f in features}).drop(*[f"_o_{f}" for f in features])
 
 
