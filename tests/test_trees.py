@@ -161,3 +161,35 @@ def test_registry_and_round_trip(spark, tmp_path):
         assert len(set(before.values())) > 2
     tuned = ml.fit_model(df, "Gradient Boosting", ["stadtradeln_volume"], tune=True, grid={"lossType": ["squared", "huber"]}, folds=2, maxIter=1, maxDepth=1, nIterNoChange=1)
     assert tuned.best_params["lossType"] in ("squared", "huber")
+
+
+def test_levels_are_counted_in_the_tasks(spark, monkeypatch):
+    """What leaves a task are sums by node, feature and bin: not a row for each row, tree and feature."""
+    from veloflow.ml import trees as module
+
+    seen = []
+    summed = module._summed
+    monkeypatch.setattr(module, "_summed", lambda *a: seen.append(summed(*a)) or seen[-1])
+    rows = spark.range(0, 5000, 1, 3).select(F.array((F.col("id") % 10).cast("double"), (F.col("id") % 7).cast("double")).alias("_x"), (F.col("id") % 5).cast("double").alias("_y"))
+    cuts = [[float(v) for v in range(10)], [float(v) for v in range(7)]]
+    grown = module.grow(module.binned(rows, cuts), cuts, trees=2, max_depth=2)
+    assert seen and all(s.count() <= 3 * 2 * 2 * 17 for s in seen)
+    means = {r["leaf"]: r["m"] for r in rows.groupBy(F.expr(grown[0].place()).alias("leaf")).agg(F.avg("_y").alias("m")).collect()}
+    assert grown[0].values == pytest.approx(means)
+
+
+def test_medians_of_few_groups(spark):
+    from veloflow.functions.order_stats import few_group_medians
+
+    values = [(i % 3, float((i * 37) % 101) - 50.0) for i in range(1000)] + [(3, 0.0), (3, -0.0), (4, None)]
+    want = {g: float(np.median([v for k, v in values if k == g])) for g in range(4)}
+    assert few_group_medians(spark.createDataFrame(values, "k int, v double"), "v", "k") == want
+
+
+def test_power_works_out_repeated_values_once(spark):
+    """Copies of a table have its exponent."""
+    from veloflow.ml.preprocessing import fit_power_lambda
+
+    one = spark.createDataFrame([(float(v),) for v in np.random.default_rng(1).lognormal(3, 1, 300).round(1) + 1], "v double")
+    copies = one.crossJoin(spark.range(20)).select("v")
+    assert fit_power_lambda(copies, "v") == pytest.approx(fit_power_lambda(one, "v"), abs=1e-9)
