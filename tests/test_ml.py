@@ -118,3 +118,12 @@ def test_search_fits_scalers_without_the_held_out_fold(spark, monkeypatch):
     trained = training.fit_model(df, "Poisson", ["dist_to_center_m"], tune=True, grid={"regParam": [0.1, 1.0]}, folds=3)
     assert seen[0] == 90 and len(seen) == 4 and sum(90 - n for n in seen[1:]) == 90 and all(n < 90 for n in seen[1:])
     assert trained.best_params["regParam"] in (0.1, 1.0)
+
+
+def test_ada_boost_query_has_all_rounds(monkeypatch):
+    from veloflow.catalog import scoring
+
+    asked = []
+    monkeypatch.setattr(scoring, "_fit_metrics", lambda spark, sf, name, **params: asked.append((name, get_model(name, **params).getOrDefault("maxIter"))))
+    scoring.train_ada_boost(None, "")
+    assert asked == [("AdaBoost Regression", 50)]
