@@ -193,3 +193,17 @@ def test_power_works_out_repeated_values_once(spark):
     one = spark.createDataFrame([(float(v),) for v in np.random.default_rng(1).lognormal(3, 1, 300).round(1) + 1], "v double")
     copies = one.crossJoin(spark.range(20)).select("v")
     assert fit_power_lambda(copies, "v") == pytest.approx(fit_power_lambda(one, "v"), abs=1e-9)
+
+
+def test_ada_boost_rounds_on_packed_rows(rows, monkeypatch):
+    """Parts of few rows and logarithms stored after each round give the same model; a level is one count, leaves need none."""
+    want = T.AdaBoostR2(maxIter=4, lossType="square", maxDepth=2).fit(rows)
+    counted, summed = [], T._summed
+    monkeypatch.setattr(T, "_summed", lambda *a: counted.append(1) or summed(*a))
+    monkeypatch.setattr(T, "CUT_EVERY", 1)
+    monkeypatch.setattr(T, "PACKED_ROWS", 30)
+    got = T.AdaBoostR2(maxIter=4, lossType="square", maxDepth=2).fit(rows.repartition(3))
+    assert [t.splits for t in got.trees] == [t.splits for t in want.trees] and len(got.trees) == 4
+    assert got.weights == pytest.approx(want.weights)
+    assert [t.values for t in got.trees] == [pytest.approx(t.values) for t in want.trees]
+    assert len(counted) == 2 * 4
